@@ -25,8 +25,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     bounded too.  Above the bound the frame is returned unchanged and the
     planner keeps a shuffle join (with AQE skew splitting)."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    memo = getattr(df, "_ticksmith_bounded", None)
+    if memo is not None and memo[0] == limit:
+        return memo[1]
     n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    out = F.broadcast(df) if n <= limit else df
+    try:
+        df._ticksmith_bounded = (limit, out)   # decided once per frame
+    except AttributeError:
+        pass
+    return out
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -4,7 +4,7 @@ check quality, publish.
 Physical layout (all Parquet):
 
 * ``<root>/bronze/<table>/evento=/fase=/match_id=/``  all strings
-* ``<root>/silver/<table>/match_id=/``                typed, one folder per match
+* ``<root>/silver/<table>/evento=/``                  typed, sorted by match inside files
 * ``<root>/gold/<fact>/evento=/``                     facts, one folder per tournament
 * ``<root>/publish/<name>/``                          published read copies
 
@@ -105,21 +105,24 @@ def _existing_ids(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path).select("match_id").where(F.col("match_id").isNotNull()).distinct()
 
 
-def write_new_matches(df: DataFrame, path: str, partition_by: list[str], layer: str, append: bool) -> None:
-    """Write a layer table partitioned by match; ``append`` adds the new
-    matches next to the stored ones (a new column simply appears in the new
-    files; readers merge schemas, old rows read NULL)."""
-    (stamp(df, layer).repartition(*[F.col(c) for c in partition_by])
-     .write.mode("append" if append else "overwrite").partitionBy(*partition_by).parquet(path))
+def write_new_matches(df: DataFrame, path: str, layer: str, append: bool) -> None:
+    """Write a layer table partitioned by tournament, rows sorted by match
+    inside each task (Parquet min/max statistics then prune by match).  No
+    shuffle: the biggest tables are written by the tasks that read them, so
+    file sizes follow the input splits.  ``append`` adds new matches next to
+    the stored ones; a new column simply appears in the new files (readers
+    merge schemas, old rows read NULL)."""
+    out = stamp(df, layer).withColumn("evento", F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)))
+    (out.sortWithinPartitions("evento", "match_id")
+     .write.mode("append" if append else "overwrite").partitionBy("evento").parquet(path))
 
 
-def append_new_matches(df: DataFrame, path: str, partition_by: list[str], layer: str,
-                       full_refresh: bool = False) -> None:
+def append_new_matches(df: DataFrame, path: str, layer: str, full_refresh: bool = False) -> None:
     """Incremental append of a computed frame: only matches absent from
     the target are written."""
     existing = None if full_refresh else _existing_ids(df.sparkSession, path)
     out = df if existing is None else df.join(existing, "match_id", "left_anti")
-    write_new_matches(out, path, partition_by, layer, append=existing is not None)
+    write_new_matches(out, path, layer, append=existing is not None)
 
 
 def upsert_by_match(df: DataFrame, path: str, layer: str = "gold", full_refresh: bool = False) -> None:
@@ -130,14 +133,14 @@ def upsert_by_match(df: DataFrame, path: str, layer: str = "gold", full_refresh:
     spark = df.sparkSession
     new = stamp(df, layer).withColumn("evento", F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)))
     if full_refresh or not path_exists(spark, path):
-        new.repartition("evento").write.mode("overwrite").partitionBy("evento").parquet(path)
+        new.hint("rebalance", "evento").write.mode("overwrite").partitionBy("evento").parquet(path)
         return
     stored = spark.read.option("mergeSchema", "true").parquet(path)
     touched = new.select("evento").distinct()
     keep = (stored.join(touched, "evento", "left_semi")
             .join(new.select("match_id").distinct(), "match_id", "left_anti"))
     merged = keep.unionByName(new, allowMissingColumns=True).checkpoint()   # cut lineage before overwrite
-    (merged.repartition("evento").write.mode("overwrite")
+    (merged.hint("rebalance", "evento").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("evento").parquet(path))
 
 
@@ -151,9 +154,14 @@ class Lake:
     bronze_root: str | None = None
     built: list[str] = field(default_factory=list)
 
+    _bronze: LandedBronze | None = None
+
     @property
     def bronze(self):
-        return LandedBronze(self.spark, self.bronze_root or f"{self.root}/bronze")
+        # one instance: the folder listing and schema merge happen once
+        if self._bronze is None:
+            self._bronze = LandedBronze(self.spark, self.bronze_root or f"{self.root}/bronze")
+        return self._bronze
 
     def silver_path(self, t: str) -> str:
         return f"{self.root}/silver/{t}"
@@ -162,7 +170,7 @@ class Lake:
         return f"{self.root}/gold/{t}"
 
     def read_silver(self, t: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.silver_path(t))
+        return self.spark.read.option("mergeSchema", "true").parquet(self.silver_path(t)).drop("evento")
 
     def read_gold(self, t: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", "true").parquet(self.gold_path(t)).drop("evento")
@@ -183,11 +191,11 @@ def build_silver(lake: Lake, select: list[str] | None = None, full_refresh: bool
     """Bronze -> silver for every (or the selected) table; the matches
     already present are pruned from the *sources*, so nothing old is typed
     or joined again."""
+    shared = Silver(lake.bronze)     # rate and round clock computed once for a first build
     for t in select or ALL_TABLES:
         existing = None if full_refresh else _existing_ids(lake.spark, lake.silver_path(t))
-        bronze = lake.bronze if existing is None else _Pruned(lake.bronze, existing)
-        df = Silver(bronze).table(t)
-        write_new_matches(df, lake.silver_path(t), ["match_id"], "silver", append=existing is not None)
+        silver = shared if existing is None else Silver(_Pruned(lake.bronze, existing))
+        write_new_matches(silver.table(t), lake.silver_path(t), "silver", append=existing is not None)
         lake.built.append(f"silver_{t}")
 
 

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     # partition values are identities (match_id, evento, fase), never numbers
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

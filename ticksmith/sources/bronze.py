@@ -167,7 +167,9 @@ def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append") ->
     out = conform_bronze(stringify(df), table)
     ev, fa = match_parts_of(F.col("match_id"))
     out = out.withColumn("evento", ev).withColumn("fase", fa)
-    (out.repartition(*[F.col(c) for c in PARTITION_COLS])
+    # rebalance: one file per match in the common case; AQE splits a hot
+    # match over several tasks instead of funnelling it through one
+    (out.hint("rebalance", *PARTITION_COLS)
         .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(table_path(root, table)))
 
 

@@ -22,6 +22,7 @@ class FixtureBronze:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def _src(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -40,7 +41,9 @@ class FixtureBronze:
         return self._run(fixture_sql.BRONZE[table])
 
     def table(self, table: str) -> DataFrame:
-        return conform_bronze(self.raw(table), table)
+        if table not in self._tables:
+            self._tables[table] = conform_bronze(self.raw(table), table)
+        return self._tables[table]
 
     def parts_rounds(self) -> DataFrame:
         return self._run(fixture_sql.EXTRA["parts_rounds"])
