@@ -229,6 +229,15 @@ class Gold:
     def digest(self) -> DataFrame:
         return self._memo("digest", lambda: tick_digest(self.silver.table("ticks")))
 
+    def materialize_digest(self) -> DataFrame:
+        """Write the digest once to the shared checkpoint folder so every
+        fact built afterwards reads it instead of rescanning ticks (each
+        consumer prunes different columns, so plan-level exchange reuse
+        would not kick in)."""
+        self._cache["digest"] = self.digest.checkpoint()
+        self._cache.pop("players", None)
+        return self._cache["digest"]
+
     @property
     def players(self) -> DataFrame:
         return self._memo("players", lambda: players(self.digest))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.facts import Gold
+from ..operators.joins import bounded_broadcast
 from ..operators.ranking import rank, ranking_specs
 from ..operators.silver import Silver
 from ..schemas import ALL_TABLES, AUDIT
@@ -42,6 +43,9 @@ from .catalog import LandedBronze
 GOLD_FACTS = ["combate_jogador_partida", "granadas_jogador_partida", "posicionamento_jogador_partida",
               "bomba_jogador_partida", "clutches_jogador_partida", "dim_jogador_partida"]
 GOLD_VIEWS = ["dim_partida"] + list(ranking_specs())
+# facts that read the tick digest
+TICK_FACTS = {"combate_jogador_partida", "posicionamento_jogador_partida", "clutches_jogador_partida",
+              "dim_jogador_partida"}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -74,6 +78,7 @@ def land_fixture_bronze(spark: SparkSession, sf_dir: str, root: str | None = Non
         return root
     fx = FixtureBronze(spark, sf_dir)
     for t in ALL_TABLES:
+        # dynamic overwrite: a retried landing replaces exactly the matches it rewrites
         write_bronze(fx.table(t), root, t, mode="overwrite")
     _touch(spark, marker)
     return root
@@ -207,18 +212,25 @@ class _Pruned:
         self.existing = existing
 
     def table(self, name: str) -> DataFrame:
-        return self.bronze.table(name).join(self.existing, "match_id", "left_anti")
+        return self.bronze.table(name).join(bounded_broadcast(self.existing), "match_id", "left_anti")
 
 
 def build_gold(lake: Lake, select: list[str] | None = None, full_refresh: bool = False) -> None:
     from ..operators.silver import tick_rate
     rate = tick_rate(lake.bronze.table("rounds"), lake.bronze.table("cvars"))
     stored = _StoredSilver(lake, rate)
+    shared = None
     for name in select or GOLD_FACTS:
         existing = None if full_refresh else _existing_ids(lake.spark, lake.gold_path(name))
-        src = stored if existing is None else _PrunedSilver(stored, existing)
-        df = Gold(src).table(name)
-        upsert_by_match(df, lake.gold_path(name), "gold", full_refresh)
+        if existing is None:
+            if shared is None:
+                shared = Gold(stored)
+                if any(n in TICK_FACTS for n in (select or GOLD_FACTS)):
+                    shared.materialize_digest()      # ticks read once for all facts below
+            gold = shared
+        else:
+            gold = Gold(_PrunedSilver(stored, existing))
+        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", full_refresh)
         lake.built.append(name)
 
 
@@ -229,10 +241,10 @@ class _PrunedSilver:
     def __init__(self, silver, existing: DataFrame):
         self.silver = silver
         self.existing = existing
-        self.rate = silver.rate.join(existing, "match_id", "left_anti")
+        self.rate = silver.rate.join(bounded_broadcast(existing), "match_id", "left_anti")
 
     def table(self, name: str) -> DataFrame:
-        return self.silver.table(name).join(self.existing, "match_id", "left_anti")
+        return self.silver.table(name).join(bounded_broadcast(self.existing), "match_id", "left_anti")
 
 
 def gold_view(lake: Lake, name: str) -> DataFrame:

@@ -36,6 +36,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = (builder.config("spark.driver.host", "127.0.0.1")
                    .config("spark.driver.bindAddress", "127.0.0.1"))
         builder = builder.config("spark.driver.memory", os.environ.get("TICKSMITH_DRIVER_MEMORY", "16g"))
+        if master.startswith("local"):
+            # one JVM: list partition folders on the driver instead of launching
+            # a listing job (clusters keep the distributed listing)
+            builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import ALL_TABLES, bronze_columns
+from ..schemas import ALL_TABLES, bronze_columns, bronze_schema
 
 PARTITION_COLS = ["evento", "fase", "match_id"]
 
@@ -149,14 +149,24 @@ def batch_members(entries: DataFrame, batch_col: str = "lote", path_col: str = "
 # ---------------------------------------------------------------- read / write
 
 
-def bronze_scan(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All files of one bronze table below any depth, unified by column
-    name (files may differ in column order or set); the declared layout is
-    enforced afterwards."""
-    df = (spark.read.option("mergeSchema", "true")
-          .option("pathGlobFilter", "*.parquet")
-          .option("basePath", table_path(root, table))
-          .parquet(table_path(root, table)))
+def bronze_scan(spark: SparkSession, root: str, table: str, discover: bool = False) -> DataFrame:
+    """All files of one bronze table, unified by column name (files may
+    differ in column order or set).
+
+    By default the reader is given the declared layout: Parquet resolves
+    each declared column by name in every file and yields NULL where a file
+    lacks it -- a by-name union without a schema-merge pass over every file
+    footer.  ``discover=True`` merges the files' own schemas instead (keeps
+    columns outside the layout)."""
+    path = table_path(root, table)
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", path)
+    if discover:
+        df = reader.option("mergeSchema", "true").parquet(path)
+    else:
+        schema = bronze_schema(table)
+        for c in PARTITION_COLS[:2]:
+            schema = schema.add(c, "string")
+        df = reader.schema(schema).parquet(path)
     return conform_bronze(df, table)
 
 
