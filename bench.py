@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -41,8 +41,7 @@ def main() -> None:
     from ticksmith.sources.bronze import write_bronze
     from ticksmith.sources.fixtures import FixtureBronze
 
-    run = os.path.basename(tempfile.mkdtemp(prefix="bench-"))
-    root = scratch_path(spark, run)
+    root = scratch_path(spark, f"bench-{uuid.uuid4().hex[:12]}")   # under the shared checkpoint folder
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -154,9 +154,12 @@ def dim_jogador(digest: DataFrame) -> DataFrame:
                     F.when(F.col("first.s") == "ct", F.lit("team_a")).otherwise(F.lit("team_b")).alias("equipe")))
 
 
+# fixed values: series-name patterns of the match identity
+# ("<team>-vs-<team>-m<N>-<map>" for a multi-map series, "<team>-vs-<team>-<map>" otherwise)
 SERIES_RE = r"^(.*)-m[0-9]+-.*$"
 GAME_NUM_RE = r"^.*-m([0-9]+)-.*$"
 TEAMS_RE = r"^(.*)-vs-(.*)$"
+MAP_PREFIX = "de_"
 
 
 def dim_partida(silver_header: DataFrame) -> DataFrame:
@@ -166,7 +169,7 @@ def dim_partida(silver_header: DataFrame) -> DataFrame:
     trailing ``-<map>`` is removed from the team text."""
     mid = F.col("match_id")
     conf = F.split_part(mid, F.lit("/"), F.lit(3))
-    slug = F.replace(F.col("map_name"), F.lit("de_"), F.lit(""))
+    slug = F.replace(F.col("map_name"), F.lit(MAP_PREFIX), F.lit(""))
     prefix = F.nullif(F.regexp_extract(conf, SERIES_RE, 1), F.lit(""))
     game = F.nullif(F.regexp_extract(conf, GAME_NUM_RE, 1), F.lit(""))
     base = silver_header.select(
