@@ -547,6 +547,56 @@ def q_stitch_parts(ws):
                                                  for c in ["round_num", "start", "official_end", "bomb_plant"]])
 
 
+_OFFSETS_SQL = """
+SELECT match_id, parte,
+  CAST(COALESCE(sum(r_max) OVER w, 0) AS BIGINT) AS round_offset,
+  CAST(COALESCE(sum(t_max + 1) OVER w, 0) AS BIGINT) AS tick_offset
+FROM (SELECT match_id, parte, max(round_num) AS r_max, max(official_end) AS t_max FROM parts_rounds GROUP BY 1, 2) s
+WINDOW w AS (PARTITION BY match_id ORDER BY parte ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def _split_parts(ws):
+    """(match_id, parte) of the split recordings of the fixture."""
+    return ws.fixtures.parts_rounds().select("match_id", "parte").distinct()
+
+
+@register("stitch_cvars", f"""
+SELECT c.match_id, p.parte, NULLIF(TRIM(c.name), '') AS name,
+  CAST(CASE WHEN NULLIF(TRIM(c.tick), '')::INTEGER <> -1 THEN NULLIF(TRIM(c.tick), '')::INTEGER + o.tick_offset
+            ELSE NULLIF(TRIM(c.tick), '')::INTEGER END AS BIGINT) AS tick
+FROM bronze_cvars c JOIN (SELECT DISTINCT match_id, parte FROM parts_rounds) p ON p.match_id = c.match_id
+JOIN ({_OFFSETS_SQL}) o ON o.match_id = p.match_id AND o.parte = p.parte""")
+def q_stitch_cvars(ws):
+    """Each split match's settings report repeated in every part: the
+    sentinel tick -1 is never shifted, other ticks move by the part offset."""
+    offsets = ST.part_offsets(ws.fixtures.parts_rounds())
+    parts = (ws.bronze.table("cvars").join(_split_parts(ws), "match_id")
+             .select("match_id", "parte", blank("name").alias("name"), to_int(blank("tick")).alias("tick")))
+    return ST.shift_table(parts, offsets, "cvars").withColumn("tick", F.col("tick").cast("bigint"))
+
+
+_HEADER_PARTS_SQL = """
+SELECT b.match_id, p.parte, b.match_id || '-p' || CAST(p.parte AS VARCHAR) || '.dem' AS src,
+  CASE WHEN p.parte = 1 THEN NULLIF(TRIM(b.map_name), '') ELSE 'de_other' END AS map_name
+FROM bronze_header b JOIN (SELECT DISTINCT match_id, parte FROM parts_rounds) p ON p.match_id = b.match_id"""
+
+
+@register("stitch_header", f"""
+SELECT f.match_id, f.map_name, a._arquivo_origem
+FROM (SELECT match_id, map_name FROM ({_HEADER_PARTS_SQL}) h
+      WHERE parte = (SELECT min(parte) FROM parts_rounds r WHERE r.match_id = h.match_id)) f
+JOIN (SELECT match_id, string_agg(src, ', ' ORDER BY parte, src) AS _arquivo_origem
+      FROM ({_HEADER_PARTS_SQL}) h GROUP BY match_id) a ON a.match_id = f.match_id""")
+def q_stitch_header(ws):
+    """First part's header; lineage lists every part's source in order.
+    (Later parts carry a different map name to show which header wins.)"""
+    hp = (ws.bronze.table("header").join(_split_parts(ws), "match_id")
+          .select("match_id", "parte",
+                  F.when(F.col("parte") == 1, blank("map_name")).otherwise(F.lit("de_other")).alias("map_name"),
+                  F.concat("match_id", F.lit("-p"), F.col("parte").cast("string"), F.lit(".dem")).alias("_arquivo_origem")))
+    return ST.stitch_header(hp)
+
+
 @register("bronze_scan", "SELECT * FROM s_kills")
 def q_bronze_scan(ws):
     """Silver kills computed from bronze that was landed as partitioned
