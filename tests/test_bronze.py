@@ -116,3 +116,14 @@ def test_stitch_tables(spark):
     assert rows(out["rounds"]) == [("m", 1, 0, 90, None), ("m", 2, 91, 141, 111)]
     assert rows(out["cvars"]) == [("m", -1), ("m", -1), ("m", 96)]
     assert rows(out["header"]) == [("m", "de_a", "e/f/x-p1.dem, e/f/x-p2.dem")]
+
+
+def test_default_input_is_first_of_sorted_recursive_listing(spark, tmp_root):
+    import os
+    for rel in ["b/final/z.dem", "a/semi/y.dem", "a/semi/readme.txt", "a/group/x-p2.dem"]:
+        os.makedirs(os.path.dirname(f"{tmp_root}/demos/{rel}"), exist_ok=True)
+        with open(f"{tmp_root}/demos/{rel}", "wb") as f:
+            f.write(b"DEMO")
+    listing = B.list_recordings(spark, f"{tmp_root}/demos")
+    assert listing.count() == 3
+    assert B.first_pending(listing).collect()[0].path.endswith("a/group/x-p2.dem")

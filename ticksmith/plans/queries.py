@@ -597,6 +597,15 @@ def q_stitch_header(ws):
     return ST.stitch_header(hp)
 
 
+@register("lineage_columns", """
+SELECT match_id, NULLIF(TRIM(round_num), '') AS round_num, match_id || '.dem' AS _arquivo_origem, 'bronze' AS _camada,
+  '2026-01-02T03:04:05' AS _carregado_em FROM bronze_kills""")
+def q_lineage_columns(ws):
+    """Lineage of one load: source file per row, layer, one load stamp."""
+    k = ws.bronze.table("kills").select("match_id", blank("round_num").alias("round_num"))
+    return B.with_lineage(k, F.col("match_id"), F.concat("match_id", F.lit(".dem")), "2026-01-02T03:04:05")
+
+
 @register("bronze_scan", "SELECT * FROM s_kills")
 def q_bronze_scan(ws):
     """Silver kills computed from bronze that was landed as partitioned

@@ -142,7 +142,8 @@ def batch_members(entries: DataFrame, batch_col: str = "lote", path_col: str = "
               .when(~F.lower(name).endswith(".dem"), F.lit("ignored"))
               .when(~name.rlike(RECORDING_NAME_RE), F.lit("rejected"))
               .otherwise(F.lit("accepted")))
-    return (files.join(sizes, batch_col)
+    from ..operators.joins import bounded_broadcast   # (sizes: one row per batch)
+    return (files.join(bounded_broadcast(sizes), batch_col)
             .select("*", name.alias("nome_base"), status.alias("status")))
 
 
