@@ -130,20 +130,24 @@ def append_new_matches(df: DataFrame, path: str, layer: str, full_refresh: bool
     write_new_matches(out, path, layer, append=existing is not None)
 
 
-def upsert_by_match(df: DataFrame, path: str, layer: str = "gold", full_refresh: bool = False) -> None:
-    """Gold upsert keyed by match: rows of the incoming matches replace the
-    stored rows of those matches.  Facts are partitioned by tournament
-    (``evento``), so each folder holds many matches and files stay large;
-    only the tournaments touched by the batch are rewritten."""
+def upsert_by_match(df: DataFrame, path: str, layer: str = "gold", full_refresh: bool = False,
+                    replace_ids: DataFrame | None = None) -> None:
+    """Upsert keyed by match: rows of the incoming matches (or of
+    ``replace_ids``, which also covers matches that now have no rows at
+    all) replace the stored rows of those matches.  Tables are partitioned
+    by tournament (``evento``), so each folder holds many matches and files
+    stay large; only the tournaments touched by the batch are rewritten."""
     spark = df.sparkSession
     new = stamp(df, layer).withColumn("evento", F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)))
     if full_refresh or not path_exists(spark, path):
         new.hint("rebalance", "evento").write.mode("overwrite").partitionBy("evento").parquet(path)
         return
+    ids = (replace_ids if replace_ids is not None else new).select("match_id").distinct()
     stored = spark.read.option("mergeSchema", "true").parquet(path)
-    touched = new.select("evento").distinct()
-    keep = (stored.join(touched, "evento", "left_semi")
-            .join(new.select("match_id").distinct(), "match_id", "left_anti"))
+    touched = (ids.select(F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)).alias("evento"))
+               .unionByName(new.select("evento")).distinct())
+    keep = (stored.join(bounded_broadcast(touched), "evento", "left_semi")
+            .join(bounded_broadcast(ids), "match_id", "left_anti"))
     merged = keep.unionByName(new, allowMissingColumns=True).checkpoint()   # cut lineage before overwrite
     (merged.hint("rebalance", "evento").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("evento").parquet(path))
@@ -247,6 +251,35 @@ class _PrunedSilver:
         return self.silver.table(name).join(bounded_broadcast(self.existing), "match_id", "left_anti")
 
 
+class _Only:
+    """A layer restricted to the given matches."""
+
+    def __init__(self, layer, ids: DataFrame, rate: DataFrame | None = None):
+        self.layer = layer
+        self.ids = ids
+        if rate is not None:
+            self.rate = rate.join(bounded_broadcast(ids), "match_id", "left_semi")
+
+    def table(self, name: str) -> DataFrame:
+        return self.layer.table(name).join(bounded_broadcast(self.ids), "match_id", "left_semi")
+
+
+def refresh_matches(lake: Lake, match_ids: DataFrame) -> None:
+    """Propagate a forced reload of bronze matches: recompute their silver
+    rows from bronze and their gold rows from silver, and replace what the
+    layers held for them (a table where a match now has no rows loses the
+    old ones too)."""
+    from ..operators.silver import tick_rate
+    ids = match_ids.select("match_id").where(F.col("match_id").isNotNull()).distinct().checkpoint()
+    silver = Silver(_Only(lake.bronze, ids))
+    for t in ALL_TABLES:
+        upsert_by_match(silver.table(t), lake.silver_path(t), "silver", replace_ids=ids)
+    rate = tick_rate(lake.bronze.table("rounds"), lake.bronze.table("cvars"))
+    gold = Gold(_Only(_StoredSilver(lake, rate), ids, rate))
+    for name in GOLD_FACTS:
+        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", replace_ids=ids)
+
+
 def gold_view(lake: Lake, name: str) -> DataFrame:
     """Views recomputed on read: match dimension and the rankings."""
     from ..operators.facts import dim_partida
