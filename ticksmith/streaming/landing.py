@@ -16,17 +16,20 @@ Each micro-batch (``foreachBatch``):
    partition overwrite -- a re-run of the same batch rewrites the same
    match folders, so the sink is idempotent;
 5. appends one status row per request to ``<status>`` (loaded, skipped,
-   rejected) -- the job's status is read from there and from
+   rejected, error) -- the job's status is read from there and from
    ``StreamingQuery.lastProgress``.
 
+Loading runs as one job per table for the whole micro-batch.  If that
+fails, the batch is retried one match at a time so a bad recording does
+not stop the others; the failing match is removed again from bronze and
+reported with its error.
+
 The checkpoint makes each request file processed once across restarts;
 ``cleanSource`` can delete or archive processed request files.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,7 @@ from ..sources.stitch import part_offsets
 
 REQUEST_SCHEMA = "evento string, fase string, arquivo string, forcar boolean"
 MAX_FORCED_PER_BATCH = 10_000
+MAX_ISOLATED_PER_BATCH = 1_000
 STATUS_COLUMNS = ["request_file", "evento", "fase", "arquivo", "match_id", "status", "erro", "epoch"]
 
 
@@ -81,6 +85,59 @@ def _shift_strings(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
     return out.select(*df.columns)
 
 
+def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids: DataFrame,
+                  loaded_at: str | None) -> None:
+    """Gather the staged rows of every part of the given matches (identity
+    from the recording path), stitch the parts and land all nine tables."""
+    parts = {}
+    for t in ALL_TABLES:
+        st = _staged(spark, staged_root, t)
+        if st is None:
+            continue
+        st = B.with_identity(st.withColumnRenamed("match_id", "_mid_staged"), "caminho").drop("_mid_staged")
+        parts[t] = st.join(bounded_broadcast(ids), "match_id", "left_semi")
+    if "rounds" not in parts:
+        return
+    r = parts["rounds"].select("match_id", "parte", to_bigint(blank("round_num")).alias("round_num"),
+                               to_bigint(blank("official_end")).alias("official_end"))
+    tk = (parts["ticks"].select("match_id", "parte", to_bigint(blank("tick")).alias("tick"))
+          if "ticks" in parts else None)
+    offsets = part_offsets(r, tk).checkpoint()
+    for t, df in parts.items():
+        if t == "header":
+            first = df.groupBy("match_id").agg(F.min("parte").alias("parte"))
+            # parts per recording are few: the ordered list of their sources is small
+            srcs = (df.groupBy("match_id")
+                    .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("parte", "caminho"))),
+                                                  lambda s: s["caminho"]), ", ").alias("_arquivo_origem")))
+            df = df.join(first, ["match_id", "parte"], "left_semi").drop("_arquivo_origem").join(srcs, "match_id")
+        else:
+            df = _shift_strings(df, offsets, t).withColumn("_arquivo_origem", F.col("caminho"))
+        if loaded_at:
+            df = df.withColumn("_carregado_em", F.lit(loaded_at))
+        df = df.withColumn("_camada", F.lit("bronze")).drop("parte", "caminho")
+        B.write_bronze(df, bronze_root, t, mode="overwrite")
+
+
+def _land_one_by_one(spark: SparkSession, staged_root: str, bronze_root: str, ids: DataFrame,
+                     loaded_at: str | None) -> DataFrame:
+    """Slow path after a failed batch: land each match on its own; a match
+    that fails is removed from bronze again (no half-landed match) and
+    reported with its error."""
+    chosen = ids.limit(MAX_ISOLATED_PER_BATCH + 1).collect()    # bounded: one micro-batch of requests
+    if len(chosen) > MAX_ISOLATED_PER_BATCH:
+        raise RuntimeError("batch failed and is too large to isolate per match; lower maxFilesPerTrigger")
+    errors = []
+    for row in chosen:
+        one = spark.createDataFrame([(row.match_id,)], "match_id string")
+        try:
+            _land_matches(spark, staged_root, bronze_root, one, loaded_at)
+        except Exception as exc:  # reported per match, the others go on
+            B.drop_matches(spark, bronze_root, [row.match_id])
+            errors.append((row.match_id, str(exc).strip().splitlines()[0][:500]))
+    return spark.createDataFrame(errors, "match_id string, erro_carga string")
+
+
 def land_requests(batch: DataFrame, epoch: int, staged_root: str, bronze_root: str, status_path: str,
                   loaded_at: str | None = None) -> None:
     spark = batch.sparkSession
@@ -99,44 +156,28 @@ def land_requests(batch: DataFrame, epoch: int, staged_root: str, bronze_root: s
     if forced_ids:
         B.drop_matches(spark, bronze_root, forced_ids)
 
-    # staged rows of every part of the matches to load (identity from the path)
-    parts = {}
-    for t in ALL_TABLES:
-        st = _staged(spark, staged_root, t)
-        if st is None:
-            continue
-        st = B.with_identity(st.withColumnRenamed("match_id", "_mid_staged"), "caminho").drop("_mid_staged")
-        parts[t] = st.join(todo.select("match_id").distinct(), "match_id", "left_semi")
-    if "rounds" in parts:
-        r = parts["rounds"].select("match_id", "parte", to_bigint(blank("round_num")).alias("round_num"),
-                                   to_bigint(blank("official_end")).alias("official_end"))
-        tk = (parts["ticks"].select("match_id", "parte", to_bigint(blank("tick")).alias("tick"))
-              if "ticks" in parts else None)
-        offsets = part_offsets(r, tk).checkpoint()
-        for t, df in parts.items():
-            if t == "header":
-                first = df.groupBy("match_id").agg(F.min("parte").alias("parte"))
-                srcs = (df.groupBy("match_id")
-                        .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("parte", "caminho"))),
-                                                      lambda s: s["caminho"]), ", ").alias("_arquivo_origem")))
-                df = df.join(first, ["match_id", "parte"], "left_semi").drop("_arquivo_origem").join(srcs, "match_id")
-            else:
-                df = _shift_strings(df, offsets, t).withColumn("_arquivo_origem", F.col("caminho"))
-            if loaded_at:
-                df = df.withColumn("_carregado_em", F.lit(loaded_at))
-            df = df.withColumn("_camada", F.lit("bronze")).drop("parte", "caminho")
-            B.write_bronze(df, bronze_root, t, mode="overwrite")
-
-    landed = todo.select("item_id", "match_id", F.lit("loaded").alias("status"))
+    ids = todo.select("match_id").distinct()
+    try:
+        _land_matches(spark, staged_root, bronze_root, ids, loaded_at)     # fast path: one job per table
+        failed = spark.createDataFrame([], "match_id string, erro_carga string")
+    except Exception:
+        # isolate: one match at a time, so one bad recording does not stop the others
+        failed = _land_one_by_one(spark, staged_root, bronze_root, ids, loaded_at)
+
+    landed = (todo.join(failed, "match_id", "left")
+              .select("item_id", "match_id",
+                      F.when(F.col("erro_carga").isNull(), F.lit("loaded")).otherwise(F.lit("error")).alias("status"),
+                      "erro_carga"))
     skipped = accepted.join(todo.select("item_id"), "item_id", "left_anti").select(
-        "item_id", "match_id", F.lit("skipped").alias("status"))
+        "item_id", "match_id", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("erro_carga"))
     outcome = landed.unionByName(skipped)
     err = F.concat_ws("; ", *[F.when(F.col(c).isNotNull(), F.concat(F.lit(c[5:] + ": "), F.col(c)))
                               for c in ["erro_evento", "erro_fase", "erro_arquivo"]])
     status = (v.join(outcome, "item_id", "left")
               .select("request_file", "evento", "fase", "arquivo", "match_id",
                       F.coalesce(F.col("status"), F.lit("rejected")).alias("status"),
-                      F.when(~F.col("aceito"), err).alias("erro"), F.lit(epoch).cast("bigint").alias("epoch")))
+                      F.when(~F.col("aceito"), err).otherwise(F.col("erro_carga")).alias("erro"),
+                      F.lit(epoch).cast("bigint").alias("epoch")))
     status.write.mode("append").parquet(status_path)
 
 
@@ -156,6 +197,3 @@ def ingest_stream(spark: SparkSession, landing: str, staged_root: str, bronze_ro
 def read_status(spark: SparkSession, status_path: str) -> DataFrame:
     return spark.read.parquet(status_path)
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
