@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,27 @@ TICK_FACTS = {"combate_jogador_partida", "posicionamento_jogador_partida", "clut
               "dim_jogador_partida"}
 
 
+def build_parallelism(spark: SparkSession) -> int:
+    """Independent table jobs submitted at once (``ticksmith.build.parallelism``).
+    Small-table jobs cannot fill a cluster on their own; running the nine
+    silver tables (or six facts) side by side keeps executors busy."""
+    try:
+        return max(1, int(spark.conf.get("ticksmith.build.parallelism", "4")))
+    except Exception:
+        return 4
+
+
+def run_concurrently(spark: SparkSession, tasks: list) -> list:
+    """Run independent Spark jobs from a small thread pool (each thread
+    submits its own job); results in submission order, first error raised."""
+    n = min(build_parallelism(spark), len(tasks))
+    if n <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=n) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -77,9 +99,8 @@ def land_fixture_bronze(spark: SparkSession, sf_dir: str, root: str | None = Non
     if path_exists(spark, marker):
         return root
     fx = FixtureBronze(spark, sf_dir)
-    for t in ALL_TABLES:
-        # dynamic overwrite: a retried landing replaces exactly the matches it rewrites
-        write_bronze(fx.table(t), root, t, mode="overwrite")
+    # dynamic overwrite: a retried landing replaces exactly the matches it rewrites
+    run_concurrently(spark, [lambda t=t: write_bronze(fx.table(t), root, t, mode="overwrite") for t in ALL_TABLES])
     _touch(spark, marker)
     return root
 
@@ -201,11 +222,16 @@ def build_silver(lake: Lake, select: list[str] | None = None, full_refresh: bool
     already present are pruned from the *sources*, so nothing old is typed
     or joined again."""
     shared = Silver(lake.bronze)     # rate and round clock computed once for a first build
-    for t in select or ALL_TABLES:
+    shared.clock                     # decide the clock's broadcast once, before the jobs fan out
+
+    def one(t):
         existing = None if full_refresh else _existing_ids(lake.spark, lake.silver_path(t))
         silver = shared if existing is None else Silver(_Pruned(lake.bronze, existing))
         write_new_matches(silver.table(t), lake.silver_path(t), "silver", append=existing is not None)
-        lake.built.append(f"silver_{t}")
+        return f"silver_{t}"
+
+    tables = select or ALL_TABLES
+    lake.built.extend(run_concurrently(lake.spark, [lambda t=t: one(t) for t in tables]))
 
 
 class _Pruned:
@@ -223,19 +249,19 @@ def build_gold(lake: Lake, select: list[str] | None = None, full_refresh: bool =
     from ..operators.silver import tick_rate
     rate = tick_rate(lake.bronze.table("rounds"), lake.bronze.table("cvars"))
     stored = _StoredSilver(lake, rate)
-    shared = None
-    for name in select or GOLD_FACTS:
-        existing = None if full_refresh else _existing_ids(lake.spark, lake.gold_path(name))
-        if existing is None:
-            if shared is None:
-                shared = Gold(stored)
-                if any(n in TICK_FACTS for n in (select or GOLD_FACTS)):
-                    shared.materialize_digest()      # ticks read once for all facts below
-            gold = shared
-        else:
-            gold = Gold(_PrunedSilver(stored, existing))
+    names = select or GOLD_FACTS
+    existing = {n: (None if full_refresh else _existing_ids(lake.spark, lake.gold_path(n))) for n in names}
+    shared = Gold(stored)
+    if any(n in TICK_FACTS and existing[n] is None for n in names):
+        shared.materialize_digest()          # ticks read once for all facts below
+        shared.players                       # roster derived once from the stored digest
+
+    def one(name):
+        gold = shared if existing[name] is None else Gold(_PrunedSilver(stored, existing[name]))
         upsert_by_match(gold.table(name), lake.gold_path(name), "gold", full_refresh)
-        lake.built.append(name)
+        return name
+
+    lake.built.extend(run_concurrently(lake.spark, [lambda n=n: one(n) for n in names]))
 
 
 class _PrunedSilver:
