@@ -80,3 +80,15 @@ def test_silver_plan_broadcasts_small_clock_and_prunes_columns(spark):
     plan = ws.silver.table("ticks")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bounded_broadcast_respects_budget(spark):
+    from ticksmith.operators.joins import bounded_broadcast, max_broadcast_rows, row_bytes
+    clock = spark.createDataFrame([("m", 1, 0, 64.0)] * 10,
+                                  "match_id string, round_num int, round_start_tick int, taxa_de_tick double")
+    assert row_bytes(clock.schema) == 16 + 48 + 4 + 4 + 8
+    assert max_broadcast_rows(clock) == (1 << 30) // 80          # ~13M clock rows fit the default budget
+    big = spark.range(100).withColumnRenamed("id", "round_num")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(bounded_broadcast(clock)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(big, max_rows=10)).lower()

@@ -4,26 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a small side may have to be broadcast.  Per-match / per-round
-# lookup tables (rate, round clock, match dimension) are a few dozen bytes
-# a row, so the default keeps a broadcast under ~200 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-CONF_KEY = "ticksmith.broadcast.maxRows"
+# Byte budget of one broadcast.  Lookups here are per match or per round
+# (tick rate, round clock, match dimension, artefact keys): at ~300k matches
+# the round clock is ~7M rows of ~64 bytes, well inside 1 GiB, while the
+# event tables it is joined to are terabytes -- shuffling those would cost
+# far more than shipping the lookup.  The driver must hold the broadcast
+# while building it, so size the driver accordingly.
+DEFAULT_MAX_BROADCAST_BYTES = 1 << 30
+BYTES_KEY = "ticksmith.broadcast.maxBytes"
+ROWS_KEY = "ticksmith.broadcast.maxRows"       # optional hard row cap (overrides the byte budget)
+
+_WIDTH = {T.StringType: 48, T.DecimalType: 16, T.TimestampType: 8, T.TimestampNTZType: 8, T.DateType: 4,
+          T.BooleanType: 1, T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.FloatType: 4}
+
+
+def row_bytes(schema: T.StructType) -> int:
+    """Rough in-memory width of one row (hash-relation overhead included)."""
+    return 16 + sum(next((w for t, w in _WIDTH.items() if isinstance(f.dataType, t)), 64) for f in schema.fields)
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
     try:
-        return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_ROWS)))
+        rows = conf.get(ROWS_KEY, None)
+        if rows:
+            return int(rows)
+        budget = int(conf.get(BYTES_KEY, str(DEFAULT_MAX_BROADCAST_BYTES)))
     except Exception:
-        return DEFAULT_MAX_BROADCAST_ROWS
+        budget = DEFAULT_MAX_BROADCAST_BYTES
+    return max(1, budget // row_bytes(df.schema))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only if it provably has at most ``max_rows``
-    rows.  The check reads at most ``max_rows + 1`` rows, so its cost is
-    bounded too.  Above the bound the frame is returned unchanged and the
-    planner keeps a shuffle join (with AQE skew splitting)."""
+    rows (default: the byte budget over the row width).  The check reads at
+    most ``max_rows + 1`` rows, so its cost is bounded too.  Above the bound
+    the frame is returned unchanged and the planner keeps a shuffle join
+    (with AQE skew splitting)."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
     memo = getattr(df, "_ticksmith_bounded", None)
     if memo is not None and memo[0] == limit:
