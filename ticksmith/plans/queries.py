@@ -371,6 +371,91 @@ def q_distinct_rows(ws):
     return ws.silver.table("bomb").select("match_id").distinct()
 
 
+# ---------------------------------------------------------------- one key per scalar primitive (2.2)
+
+
+def _scalar(key: str, table: str, layer: str, cols) -> None:
+    """Register a projection of single-column primitives over one table;
+    ``cols`` = [(alias, spark column factory, SQL expression)]."""
+    src = f"bronze_{table}" if layer == "bronze" else f"s_{table}"
+    sql = "SELECT match_id, " + ", ".join(f"{e} AS {a}" for a, _, e in cols) + f" FROM {src}"
+
+    def build(ws):
+        df = ws.bronze.table(table) if layer == "bronze" else ws.silver.table(table)
+        return df.select("match_id", *[fn().alias(a) for a, fn, _ in cols])
+    register(key, sql)(build)
+
+
+def _nt(c):
+    return f"NULLIF(TRIM({c}), '')"
+
+
+_scalar("cast_int", "ticks", "bronze", [("health", lambda: to_int(blank("health")), f"{_nt('health')}::INTEGER"),
+                                        ("tick", lambda: to_int(blank("tick")), f"{_nt('tick')}::INTEGER")])
+_scalar("cast_bigint", "ticks", "bronze", [("steamid", lambda: to_bigint(blank("steamid")), f"{_nt('steamid')}::BIGINT")])
+_scalar("cast_double", "ticks", "bronze", [("x", lambda: to_double(blank("X")), f"{_nt('X')}::DOUBLE"),
+                                           ("y", lambda: to_double(blank("Y")), f"{_nt('Y')}::DOUBLE"),
+                                           ("z", lambda: to_double(blank("Z")), f"{_nt('Z')}::DOUBLE")])
+_scalar("cast_string", "bomb", "bronze", [("name", lambda: blank("name").cast("string"), f"{_nt('name')}::VARCHAR")])
+_scalar("cast_ubigint", "kills", "bronze", [("faux", lambda: to_u64(blank("weapon_fauxitemid")),
+                                             f"{_nt('weapon_fauxitemid')}::DECIMAL(20,0)")])
+_scalar("text_to_bool", "header", "bronze", [
+    ("entities", lambda: to_bool(blank("allow_clientside_entities")), f"LOWER({_nt('allow_clientside_entities')})::BOOLEAN"),
+    ("particles", lambda: to_bool(blank("allow_clientside_particles")), f"LOWER({_nt('allow_clientside_particles')})::BOOLEAN")])
+_scalar("text_to_timestamp", "header", "bronze", [
+    ("carregado_em", lambda: blank("_carregado_em").cast("timestamp_ntz").cast("string"),
+     f"{_nt('_carregado_em')}::TIMESTAMP::VARCHAR")])
+_scalar("now_stamp", "header", "bronze", [("carimbado", lambda: F.current_timestamp().isNotNull(), "now() IS NOT NULL")])
+_scalar("const_column", "header", "bronze", [("camada", lambda: F.lit("silver"), "'silver'")])
+_scalar("in_list", "bomb", "silver", [("plant_ou_defuse", lambda: F.col("event").isin("plant", "defuse"),
+                                       "event IN ('plant', 'defuse')")])
+_scalar("eq", "kills", "silver", [("suicidio", lambda: F.col("attacker_steamid") == F.col("victim_steamid"),
+                                   "attacker_steamid = victim_steamid")])
+_scalar("neq", "kills", "silver", [("lados_diferentes", lambda: F.col("attacker_side") != F.col("victim_side"),
+                                    "attacker_side <> victim_side")])
+_scalar("is_null", "kills", "silver", [("sem_atacante", lambda: F.col("attacker_steamid").isNull(),
+                                        "attacker_steamid IS NULL")])
+_scalar("is_not_null", "kills", "silver", [("com_assistente", lambda: F.col("assister_steamid").isNotNull(),
+                                            "assister_steamid IS NOT NULL")])
+_scalar("le", "kills", "silver", [("ate_tick", lambda: F.col("tick") <= F.col("round_num") * 10000 + 2000,
+                                   "tick <= round_num * 10000 + 2000")])
+_scalar("ge", "kills", "silver", [("desde_tick", lambda: F.col("tick") >= F.col("round_num") * 10000 + 2000,
+                                   "tick >= round_num * 10000 + 2000")])
+_scalar("and", "kills", "silver", [("hs_inimigo", lambda: F.col("headshot") & (F.col("attacker_side") != F.col("victim_side")),
+                                    "headshot AND attacker_side <> victim_side")])
+_scalar("or", "kills", "silver", [("hs_ou_mundo", lambda: F.col("headshot") | (F.col("weapon") == "world"),
+                                   "headshot OR weapon = 'world'")])
+_scalar("not", "kills", "silver", [("sem_hs", lambda: ~F.col("headshot"), "NOT headshot")])
+_scalar("like_bucket", "grenades", "silver", [("categoria", lambda: grenade_category("grenade_type"), _CATEGORY_SQL)])
+_scalar("case_when", "ticks", "silver", [
+    ("oposto", lambda: opposite_side("side"), "CASE WHEN side = 'ct' THEN 't' ELSE 'ct' END"),
+    ("equipe", lambda: F.when(F.col("side") == "ct", "team_a").otherwise("team_b"),
+     "CASE WHEN side = 'ct' THEN 'team_a' ELSE 'team_b' END")])
+_scalar("coalesce", "kills", "silver", [("assistente_ou_zero", lambda: F.coalesce("assister_steamid", F.lit(0).cast("bigint")),
+                                         "COALESCE(assister_steamid, 0)")])
+_scalar("safe_ratio", "damages", "silver", [("razao", lambda: safe_ratio("dmg_health_real", "dmg_health"),
+                                             "dmg_health_real::DOUBLE / NULLIF(dmg_health, 0)")])
+_scalar("split_part", "header", "silver", [
+    (f"parte_{i}", (lambda i=i: F.split_part(F.col("match_id"), F.lit("/"), F.lit(i))), f"split_part(match_id, '/', {i})")
+    for i in range(1, 5)])
+_scalar("replace", "header", "silver", [("slug", lambda: F.replace(F.col("map_name"), F.lit("de_"), F.lit("")),
+                                         "replace(map_name, 'de_', '')")])
+_scalar("regexp_extract", "header", "silver", [
+    ("prefixo", lambda: F.regexp_extract(F.split_part(F.col("match_id"), F.lit("/"), F.lit(3)), G.SERIES_RE, 1),
+     "regexp_extract(split_part(match_id, '/', 3), '^(.*)-m[0-9]+-.*$', 1)"),
+    ("jogo", lambda: F.regexp_extract(F.split_part(F.col("match_id"), F.lit("/"), F.lit(3)), G.GAME_NUM_RE, 1),
+     "regexp_extract(split_part(match_id, '/', 3), '^.*-m([0-9]+)-.*$', 1)")])
+_scalar("regexp_replace_dyn", "header", "silver", [
+    ("sem_mapa", lambda: F.regexp_replace(F.split_part(F.col("match_id"), F.lit("/"), F.lit(3)),
+                                          F.concat(F.lit("-"), F.replace(F.col("map_name"), F.lit("de_"), F.lit("")),
+                                                   F.lit("$")), F.lit("")),
+     "regexp_replace(split_part(match_id, '/', 3), '-' || replace(map_name, 'de_', '') || '$', '')")])
+_scalar("concat_op", "header", "silver", [
+    ("chave", lambda: F.concat(F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)), F.lit("/"), F.col("map_name")),
+     "split_part(match_id, '/', 1) || '/' || map_name")])
+register("stitch_rounds", None)(lambda ws: REGISTRY["stitch_parts"](ws))
+
+
 # ================================================================ rankings / pages (2.8)
 
 for _name, _spec in R.ranking_specs().items():
@@ -617,6 +702,10 @@ def q_bronze_scan(ws):
     return _silver(landed, "kills")
 
 
+# the rounds part of stitching is the stitch_parts query
+ORACLE["stitch_rounds"] = ORACLE["stitch_parts"]
+
+
 # ================================================================ public
 
 
