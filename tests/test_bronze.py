@@ -127,3 +127,15 @@ def test_default_input_is_first_of_sorted_recursive_listing(spark, tmp_root):
     listing = B.list_recordings(spark, f"{tmp_root}/demos")
     assert listing.count() == 3
     assert B.first_pending(listing).collect()[0].path.endswith("a/group/x-p2.dem")
+
+
+def test_layout_paths_match_written_folders(spark, tmp_root):
+    import os
+    from urllib.parse import unquote
+    mid = "cup-a/final/t0-vs-u0-m1-mirage"
+    B.write_bronze(spark.createDataFrame([(mid, "1")], "match_id string, tick string"), f"{tmp_root}/b", "kills")
+    flat, part = B.layout_paths("kills", F.lit(mid))
+    r = spark.range(1).select(flat.alias("f"), part.alias("p")).collect()[0]
+    assert r.f == "kills/cup-a/final/t0-vs-u0-m1-mirage.parquet"
+    assert os.path.isdir(f"{tmp_root}/b/{r.p}")
+    assert unquote(r.p.split("match_id=")[1]) == mid

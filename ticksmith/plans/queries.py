@@ -682,6 +682,16 @@ def q_stitch_header(ws):
     return ST.stitch_header(hp)
 
 
+@register("match_layout", """
+SELECT match_id, 'kills/' || match_id || '.parquet' AS caminho_arquivo,
+  'kills/evento=' || split_part(match_id, '/', 1) || '/fase=' || split_part(match_id, '/', 2) || '/match_id='
+    || replace(match_id, '/', '%2F') AS caminho_particao
+FROM bronze_header""")
+def q_match_layout(ws):
+    flat, part = B.layout_paths("kills", F.col("match_id"))
+    return ws.bronze.table("header").select("match_id", flat.alias("caminho_arquivo"), part.alias("caminho_particao"))
+
+
 @register("lineage_columns", """
 SELECT match_id, NULLIF(TRIM(round_num), '') AS round_num, match_id || '.dem' AS _arquivo_origem, 'bronze' AS _camada,
   '2026-01-02T03:04:05' AS _carregado_em FROM bronze_kills""")

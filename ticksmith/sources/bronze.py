@@ -52,6 +52,18 @@ def match_parts_of(match_id: Column) -> tuple[Column, Column]:
     return F.split_part(match_id, F.lit("/"), F.lit(1)), F.split_part(match_id, F.lit("/"), F.lit(2))
 
 
+def layout_paths(table: str, match_id: Column) -> tuple[Column, Column]:
+    """Where a match's rows of ``table`` live: the recording-style path
+    ``<table>/<evento>/<fase>/<confronto>.parquet`` and this engine's
+    partition folder ``<table>/evento=<e>/fase=<f>/match_id=<id>`` (the
+    slashes inside the identity are escaped as %2F)."""
+    ev, fa = match_parts_of(match_id)
+    flat = F.concat(F.lit(f"{table}/"), match_id, F.lit(".parquet"))
+    part = F.concat(F.lit(f"{table}/evento="), ev, F.lit("/fase="), fa, F.lit("/match_id="),
+                    F.replace(match_id, F.lit("/"), F.lit("%2F")))
+    return flat, part
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
