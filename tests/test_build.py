@@ -128,3 +128,24 @@ def test_refresh_matches_propagates_a_reload(spark, tmp_root):
         assert after[k] == expected[k], k
     assert after["silver_kills"] != before["silver_kills"]
     assert after["combate_jogador_partida"] != before["combate_jogador_partida"]
+
+
+def test_incremental_reads_only_new_matches(spark, tmp_root):
+    import glob
+    fx = FixtureBronze(spark, SF_SMALL)
+    lake = BLD.Lake(spark, f"{tmp_root}/lake")
+    first = F.col("match_id").startswith("cup-a")
+    land(spark, lake.root, fx, first)
+    BLD.build(lake, select=["silver_kills", "combate_jogador_partida", "silver_ticks", "silver_damages"])
+    land(spark, lake.root, fx, ~first)
+    lake._bronze = None
+    done = BLD.processed_ids(lake, "silver_kills", lake.silver_path("kills"))
+    ids = BLD.new_ids(lake.bronze.table("kills").select("match_id"), done)
+    plan = BLD.restrict(lake.bronze.table("kills"), ids)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "match_id" in plan.split("PartitionFilters")[1][:300]
+    BLD.build(lake, select=["silver_kills", "silver_ticks", "silver_damages", "combate_jogador_partida"])
+    files = sorted(glob.glob(f"{lake.root}/silver/kills/**/*.parquet", recursive=True))
+    BLD.build(lake, select=["silver_kills"])                       # nothing new: nothing written
+    assert sorted(glob.glob(f"{lake.root}/silver/kills/**/*.parquet", recursive=True)) == files
+    assert (BLD.processed_ids(lake, "silver_kills", "").count()
+            == fx.table("kills").select("match_id").distinct().count())

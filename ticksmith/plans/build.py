@@ -10,10 +10,13 @@ Physical layout (all Parquet):
 
 Incremental rules:
 
-* silver: append only matches the target does not hold yet (anti-join on
-  the target's match ids, applied to the *sources* so nothing else is
-  recomputed);
-* gold facts: upsert by match -- rows of the new matches replace any rows
+* silver: only matches not processed yet are read -- their ids are the
+  bronze table's match ids minus a small per-table ledger, and every input
+  is restricted to them (partition pruning on bronze); new files are
+  appended;
+* gold facts: the same ledger rule on the fact's source table, inputs
+  restricted by match (row-group skipping: silver files are sorted by
+  match), then upsert by match -- rows of the new matches replace any rows
   those matches had; written with dynamic partition overwrite of the
   affected tournament folders after the merged frame is checkpointed
   (never read and overwrite the same files in one job);
@@ -131,6 +134,64 @@ def _existing_ids(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path).select("match_id").where(F.col("match_id").isNotNull()).distinct()
 
 
+# ---------------------------------------------------------------- ledger of processed matches
+
+MAX_INLIST = 2_000     # new matches per batch pruned with a literal IN-list (partition / row-group pruning)
+
+
+def ledger_path(lake: "Lake", key: str) -> str:
+    return f"{lake.root}/_ledger/{key}"
+
+
+def processed_ids(lake: "Lake", key: str, target: str) -> DataFrame | None:
+    """Matches a model has already processed: its ledger (one small row per
+    match, also for matches that had no rows in the table), else -- for a
+    target written before ledgers existed -- the target's own match ids."""
+    p = ledger_path(lake, key)
+    if path_exists(lake.spark, p):
+        return lake.spark.read.parquet(p).select("match_id").distinct()
+    return _existing_ids(lake.spark, target)
+
+
+def record_processed(lake: "Lake", key: str, ids: DataFrame, overwrite: bool = False) -> None:
+    ids.select("match_id").distinct().write.mode("overwrite" if overwrite else "append").parquet(ledger_path(lake, key))
+
+
+def restrict(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the given matches only.  A batch of up to MAX_INLIST matches
+    becomes a literal IN filter: on bronze it prunes partition folders, on
+    silver / gold (files sorted by match) Parquet statistics skip row
+    groups -- an incremental run reads the new data, not all data.  Larger
+    batches use a (size-checked) broadcast semi-join."""
+    few = ids.select("match_id").limit(MAX_INLIST + 1).collect()     # bounded by MAX_INLIST
+    if len(few) <= MAX_INLIST:
+        return df.where(F.col("match_id").isin([r.match_id for r in few]))
+    return df.join(bounded_broadcast(ids.select("match_id")), "match_id", "left_semi")
+
+
+class _Restricted:
+    """A layer (bronze or stored silver) seen through ``restrict``."""
+
+    def __init__(self, layer, ids: DataFrame, rate: DataFrame | None = None):
+        self.layer = layer
+        self.ids = ids
+        self._cache = {}
+        if rate is not None:
+            self.rate = restrict(rate, ids)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = restrict(self.layer.table(name), self.ids)
+        return self._cache[name]
+
+
+def new_ids(source_ids: DataFrame, done: DataFrame | None) -> DataFrame:
+    ids = source_ids.select("match_id").where(F.col("match_id").isNotNull()).distinct()
+    if done is not None:
+        ids = ids.join(bounded_broadcast(done), "match_id", "left_anti")
+    return ids.checkpoint()          # small; fixes the batch's match set
+
+
 def write_new_matches(df: DataFrame, path: str, layer: str, append: bool) -> None:
     """Write a layer table partitioned by tournament, rows sorted by match
     inside each task (Parquet min/max statistics then prune by match).  No
@@ -218,65 +279,73 @@ class _StoredSilver:
 
 
 def build_silver(lake: Lake, select: list[str] | None = None, full_refresh: bool = False) -> None:
-    """Bronze -> silver for every (or the selected) table; the matches
-    already present are pruned from the *sources*, so nothing old is typed
-    or joined again."""
-    shared = Silver(lake.bronze)     # rate and round clock computed once for a first build
+    """Bronze -> silver for every (or the selected) table.  Only matches not
+    yet processed are read: their ids come from the bronze table's partition
+    column minus the table's ledger, and every bronze input (the table, plus
+    rounds / cvars for the clock) is restricted to them."""
+    shared = Silver(lake.bronze)     # first build: rate and round clock computed once for all tables
     shared.clock                     # decide the clock's broadcast once, before the jobs fan out
 
     def one(t):
-        existing = None if full_refresh else _existing_ids(lake.spark, lake.silver_path(t))
-        silver = shared if existing is None else Silver(_Pruned(lake.bronze, existing))
-        write_new_matches(silver.table(t), lake.silver_path(t), "silver", append=existing is not None)
-        return f"silver_{t}"
+        key = f"silver_{t}"
+        done = None if full_refresh else processed_ids(lake, key, lake.silver_path(t))
+        src = lake.bronze.table(t).select("match_id")
+        if done is None:
+            write_new_matches(shared.table(t), lake.silver_path(t), "silver", append=False)
+            record_processed(lake, key, src, overwrite=True)
+            return key
+        ids = new_ids(src, done)
+        if ids.limit(1).count() == 0:
+            return key
+        silver = Silver(_Restricted(lake.bronze, ids))
+        write_new_matches(silver.table(t), lake.silver_path(t), "silver", append=True)
+        record_processed(lake, key, ids)
+        return key
 
     tables = select or ALL_TABLES
     lake.built.extend(run_concurrently(lake.spark, [lambda t=t: one(t) for t in tables]))
 
 
-class _Pruned:
-    """Bronze source restricted to matches not yet in a target."""
-
-    def __init__(self, bronze, existing: DataFrame):
-        self.bronze = bronze
-        self.existing = existing
-
-    def table(self, name: str) -> DataFrame:
-        return self.bronze.table(name).join(bounded_broadcast(self.existing), "match_id", "left_anti")
+# silver table whose matches define a fact's batch (the fact's roster source)
+FACT_SOURCE = {"combate_jogador_partida": "ticks", "posicionamento_jogador_partida": "ticks",
+               "clutches_jogador_partida": "ticks", "dim_jogador_partida": "ticks",
+               "granadas_jogador_partida": "grenades", "bomba_jogador_partida": "bomb"}
 
 
 def build_gold(lake: Lake, select: list[str] | None = None, full_refresh: bool = False) -> None:
+    """Silver -> gold facts.  A first build computes everything (the tick
+    digest is checkpointed once for all tick-based facts); later builds
+    restrict every silver input to the matches the fact has not processed
+    yet and upsert them."""
     from ..operators.silver import tick_rate
     rate = tick_rate(lake.bronze.table("rounds"), lake.bronze.table("cvars"))
     stored = _StoredSilver(lake, rate)
     names = select or GOLD_FACTS
-    existing = {n: (None if full_refresh else _existing_ids(lake.spark, lake.gold_path(n))) for n in names}
+    done = {n: (None if full_refresh else processed_ids(lake, n, lake.gold_path(n))) for n in names}
     shared = Gold(stored)
-    if any(n in TICK_FACTS and existing[n] is None for n in names):
+    if any(n in TICK_FACTS and done[n] is None for n in names):
         shared.materialize_digest()          # ticks read once for all facts below
         shared.players                       # roster derived once from the stored digest
 
     def one(name):
-        gold = shared if existing[name] is None else Gold(_PrunedSilver(stored, existing[name]))
-        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", full_refresh)
+        src = processed_ids(lake, f"silver_{FACT_SOURCE[name]}", lake.silver_path(FACT_SOURCE[name]))
+        if src is None:
+            return name
+        if done[name] is None:
+            upsert_by_match(shared.table(name), lake.gold_path(name), "gold", full_refresh=True)
+            record_processed(lake, name, src, overwrite=True)
+            return name
+        ids = new_ids(src, done[name])
+        if ids.limit(1).count() == 0:
+            return name
+        gold = Gold(_Restricted(stored, ids, rate))
+        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", replace_ids=ids)
+        record_processed(lake, name, ids)
         return name
 
     lake.built.extend(run_concurrently(lake.spark, [lambda n=n: one(n) for n in names]))
 
 
-class _PrunedSilver:
-    """Silver restricted to new matches: every gold key contains match_id,
-    so pruning the inputs early is exact."""
-
-    def __init__(self, silver, existing: DataFrame):
-        self.silver = silver
-        self.existing = existing
-        self.rate = silver.rate.join(bounded_broadcast(existing), "match_id", "left_anti")
-
-    def table(self, name: str) -> DataFrame:
-        return self.silver.table(name).join(bounded_broadcast(self.existing), "match_id", "left_anti")
-
-
 class _Only:
     """A layer restricted to the given matches."""
 
