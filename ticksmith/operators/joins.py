@@ -56,6 +56,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return out
 
 
+MAX_INLIST = 2_000     # matches per batch pruned with a literal IN-list (partition / row-group pruning)
+
+
+def restrict(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the given matches only.  A batch of up to MAX_INLIST matches
+    becomes a literal IN filter: on bronze it prunes partition folders, on
+    silver / gold (files sorted by match) Parquet statistics skip row
+    groups -- an incremental run reads the new data, not all data.  Larger
+    batches use a (size-checked) broadcast semi-join."""
+    few = ids.select("match_id").limit(MAX_INLIST + 1).collect()     # bounded by MAX_INLIST
+    if len(few) <= MAX_INLIST:
+        return df.where(F.col("match_id").isin([r.match_id for r in few]))
+    return df.join(bounded_broadcast(ids.select("match_id")), "match_id", "left_semi")
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int | None = None) -> DataFrame:
     """Join a large frame with a lookup frame, broadcasting the lookup when

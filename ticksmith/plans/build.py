@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.facts import Gold
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, restrict
 from ..operators.ranking import rank, ranking_specs
 from ..operators.silver import Silver
 from ..schemas import ALL_TABLES, AUDIT
@@ -136,9 +136,6 @@ def _existing_ids(spark: SparkSession, path: str) -> DataFrame | None:
 
 # ---------------------------------------------------------------- ledger of processed matches
 
-MAX_INLIST = 2_000     # new matches per batch pruned with a literal IN-list (partition / row-group pruning)
-
-
 def ledger_path(lake: "Lake", key: str) -> str:
     return f"{lake.root}/_ledger/{key}"
 
@@ -157,18 +154,6 @@ def record_processed(lake: "Lake", key: str, ids: DataFrame, overwrite: bool = F
     ids.select("match_id").distinct().write.mode("overwrite" if overwrite else "append").parquet(ledger_path(lake, key))
 
 
-def restrict(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the given matches only.  A batch of up to MAX_INLIST matches
-    becomes a literal IN filter: on bronze it prunes partition folders, on
-    silver / gold (files sorted by match) Parquet statistics skip row
-    groups -- an incremental run reads the new data, not all data.  Larger
-    batches use a (size-checked) broadcast semi-join."""
-    few = ids.select("match_id").limit(MAX_INLIST + 1).collect()     # bounded by MAX_INLIST
-    if len(few) <= MAX_INLIST:
-        return df.where(F.col("match_id").isin([r.match_id for r in few]))
-    return df.join(bounded_broadcast(ids.select("match_id")), "match_id", "left_semi")
-
-
 class _Restricted:
     """A layer (bronze or stored silver) seen through ``restrict``."""
 

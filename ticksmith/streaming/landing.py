@@ -4,7 +4,9 @@ Upload requests arrive as JSON-lines files in a landing folder (one line
 per request: ``evento``, ``fase``, ``arquivo`` and optional ``forcar``).
 The parsed tables of each recording part are staged as string Parquet
 under ``<staged>/<table>/`` with a ``caminho`` column holding the relative
-recording path (``evento/fase/name[-pN].dem``).
+recording path (``evento/fase/name[-pN].dem``).  When the staged files
+also carry the match identity -- best as a ``match_id=`` partition folder
+-- each micro-batch reads only its own matches' folders.
 
 Each micro-batch (``foreachBatch``):
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank, to_bigint
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, restrict
 from ..schemas import ALL_TABLES
 from ..sources import bronze as B
 from ..sources.stitch import part_offsets
@@ -94,6 +96,9 @@ def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids:
         st = _staged(spark, staged_root, t)
         if st is None:
             continue
+        if "match_id" in st.columns:
+            # staged by identity (ideally as a partition column): prune to the batch's matches first
+            st = restrict(st, ids)
         st = B.with_identity(st.withColumnRenamed("match_id", "_mid_staged"), "caminho").drop("_mid_staged")
         parts[t] = st.join(bounded_broadcast(ids), "match_id", "left_semi")
     if "rounds" not in parts:
