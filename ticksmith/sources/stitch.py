@@ -15,8 +15,6 @@ size-checked broadcast join of the offsets onto every table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +82,3 @@ def stitch(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
             out[name] = shift_table(df, offsets, name).drop("parte")
     return out
 
-
-def union_parts(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
