@@ -141,7 +141,8 @@ def test_incremental_reads_only_new_matches(spark, tmp_root):
     lake._bronze = None
     done = BLD.processed_ids(lake, "silver_kills", lake.silver_path("kills"))
     ids = BLD.new_ids(lake.bronze.table("kills").select("match_id"), done)
-    plan = BLD.restrict(lake.bronze.table("kills"), ids)._jdf.queryExecution().executedPlan().toString()
+    from ticksmith.operators.joins import restrict
+    plan = restrict(lake.bronze.table("kills"), ids)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "match_id" in plan.split("PartitionFilters")[1][:300]
     BLD.build(lake, select=["silver_kills", "silver_ticks", "silver_damages", "combate_jogador_partida"])
     files = sorted(glob.glob(f"{lake.root}/silver/kills/**/*.parquet", recursive=True))

@@ -59,16 +59,29 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 MAX_INLIST = 2_000     # matches per batch pruned with a literal IN-list (partition / row-group pruning)
 
 
-def restrict(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the given matches only.  A batch of up to MAX_INLIST matches
-    becomes a literal IN filter: on bronze it prunes partition folders, on
-    silver / gold (files sorted by match) Parquet statistics skip row
-    groups -- an incremental run reads the new data, not all data.  Larger
-    batches use a (size-checked) broadcast semi-join."""
-    few = ids.select("match_id").limit(MAX_INLIST + 1).collect()     # bounded by MAX_INLIST
-    if len(few) <= MAX_INLIST:
-        return df.where(F.col("match_id").isin([r.match_id for r in few]))
-    return df.join(bounded_broadcast(ids.select("match_id")), "match_id", "left_semi")
+class MatchBatch:
+    """A batch of match ids, read once.  Up to MAX_INLIST ids are kept as a
+    literal list: ``restrict`` then becomes an IN filter that prunes
+    partition folders (bronze) or skips Parquet row groups (silver / gold,
+    files sorted by match).  Larger batches use a size-checked broadcast
+    semi-join."""
+
+    def __init__(self, ids: DataFrame):
+        self.ids = ids.select("match_id")
+        few = self.ids.limit(MAX_INLIST + 1).collect()     # bounded by MAX_INLIST
+        self.empty = not few
+        self.values = [r.match_id for r in few] if len(few) <= MAX_INLIST else None
+
+    def restrict(self, df: DataFrame) -> DataFrame:
+        if self.values is not None:
+            return df.where(F.col("match_id").isin(self.values))
+        return df.join(bounded_broadcast(self.ids), "match_id", "left_semi")
+
+
+def restrict(df: DataFrame, ids: DataFrame | MatchBatch) -> DataFrame:
+    """Rows of the given matches only (see :class:`MatchBatch`)."""
+    batch = ids if isinstance(ids, MatchBatch) else MatchBatch(ids)
+    return batch.restrict(df)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.facts import Gold
-from ..operators.joins import bounded_broadcast, restrict
+from ..operators.joins import MatchBatch, bounded_broadcast
 from ..operators.ranking import rank, ranking_specs
 from ..operators.silver import Silver
 from ..schemas import ALL_TABLES, AUDIT
@@ -155,18 +155,18 @@ def record_processed(lake: "Lake", key: str, ids: DataFrame, overwrite: bool = F
 
 
 class _Restricted:
-    """A layer (bronze or stored silver) seen through ``restrict``."""
+    """A layer (bronze or stored silver) seen through one match batch."""
 
-    def __init__(self, layer, ids: DataFrame, rate: DataFrame | None = None):
+    def __init__(self, layer, batch: MatchBatch, rate: DataFrame | None = None):
         self.layer = layer
-        self.ids = ids
+        self.batch = batch
         self._cache = {}
         if rate is not None:
-            self.rate = restrict(rate, ids)
+            self.rate = batch.restrict(rate)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = restrict(self.layer.table(name), self.ids)
+            self._cache[name] = self.batch.restrict(self.layer.table(name))
         return self._cache[name]
 
 
@@ -177,6 +177,10 @@ def new_ids(source_ids: DataFrame, done: DataFrame | None) -> DataFrame:
     return ids.checkpoint()          # small; fixes the batch's match set
 
 
+def new_batch(source_ids: DataFrame, done: DataFrame | None) -> MatchBatch:
+    return MatchBatch(new_ids(source_ids, done))
+
+
 def write_new_matches(df: DataFrame, path: str, layer: str, append: bool) -> None:
     """Write a layer table partitioned by tournament, rows sorted by match
     inside each task (Parquet min/max statistics then prune by match).  No
@@ -279,12 +283,12 @@ def build_silver(lake: Lake, select: list[str] | None = None, full_refresh: bool
             write_new_matches(shared.table(t), lake.silver_path(t), "silver", append=False)
             record_processed(lake, key, src, overwrite=True)
             return key
-        ids = new_ids(src, done)
-        if ids.limit(1).count() == 0:
+        batch = new_batch(src, done)
+        if batch.empty:
             return key
-        silver = Silver(_Restricted(lake.bronze, ids))
+        silver = Silver(_Restricted(lake.bronze, batch))
         write_new_matches(silver.table(t), lake.silver_path(t), "silver", append=True)
-        record_processed(lake, key, ids)
+        record_processed(lake, key, batch.ids)
         return key
 
     tables = select or ALL_TABLES
@@ -320,12 +324,12 @@ def build_gold(lake: Lake, select: list[str] | None = None, full_refresh: bool =
             upsert_by_match(shared.table(name), lake.gold_path(name), "gold", full_refresh=True)
             record_processed(lake, name, src, overwrite=True)
             return name
-        ids = new_ids(src, done[name])
-        if ids.limit(1).count() == 0:
+        batch = new_batch(src, done[name])
+        if batch.empty:
             return name
-        gold = Gold(_Restricted(stored, ids, rate))
-        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", replace_ids=ids)
-        record_processed(lake, name, ids)
+        gold = Gold(_Restricted(stored, batch, rate))
+        upsert_by_match(gold.table(name), lake.gold_path(name), "gold", replace_ids=batch.ids)
+        record_processed(lake, name, batch.ids)
         return name
 
     lake.built.extend(run_concurrently(lake.spark, [lambda n=n: one(n) for n in names]))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank, to_bigint
-from ..operators.joins import bounded_broadcast, restrict
+from ..operators.joins import MatchBatch, bounded_broadcast
 from ..schemas import ALL_TABLES
 from ..sources import bronze as B
 from ..sources.stitch import part_offsets
@@ -92,13 +92,14 @@ def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids:
     """Gather the staged rows of every part of the given matches (identity
     from the recording path), stitch the parts and land all nine tables."""
     parts = {}
+    batch = MatchBatch(ids)          # the batch's ids, read once for every staged table
     for t in ALL_TABLES:
         st = _staged(spark, staged_root, t)
         if st is None:
             continue
         if "match_id" in st.columns:
             # staged by identity (ideally as a partition column): prune to the batch's matches first
-            st = restrict(st, ids)
+            st = batch.restrict(st)
         st = B.with_identity(st.withColumnRenamed("match_id", "_mid_staged"), "caminho").drop("_mid_staged")
         parts[t] = st.join(bounded_broadcast(ids), "match_id", "left_semi")
     if "rounds" not in parts:
