@@ -62,6 +62,8 @@ def main(argv=None) -> int:
     from .sources.bronze import clear_layer
     from .streaming.landing import ingest_stream
 
+    from pyspark.sql import SparkSession
+    owned = SparkSession.getActiveSession() is None      # stop only a session this command started
     spark = build_session(args.master)
     lake = B.Lake(spark, args.root.rstrip("/"))
     if args.cmd == "ingest":
@@ -84,7 +86,8 @@ def main(argv=None) -> int:
         _page(lake, args)
     elif args.cmd == "quality":
         B.quality_report(lake).where(F.col("failures") > 0).show(200, truncate=False)
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 
