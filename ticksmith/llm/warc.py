@@ -1,10 +1,12 @@
 """WARC archives: written by Spark, indexed first, read by byte ranges.
 
-Records are dealt to archives of a bounded size, ordered inside each, and
-written by Spark's text writer with the record separator as line separator.
-So the commit protocol of the writer holds, and a lost task is run again.  The offset of a
-record is the running sum of the byte lengths before it, so the index
-(archive, offset, length, URL, digest per record) needs no second read.
+Every record is a gzip member of its own.  Records are dealt to archives of
+a bounded size, ordered inside each, and written by Spark's text writer with
+an empty gzip member as line separator, so an archive is one valid
+multi-member gzip file.  The commit protocol of the writer holds, and a lost
+task is run again.  The offset of a record is the running sum of the lengths
+before it: the index (archive, offset, length, URL, digest per record) needs
+no second read.  Payloads cross shuffles compressed.
 A read takes selected index rows, sorts their ranges by archive and offset,
 joins ranges with small gaps and reads each joined range once.
 
@@ -18,8 +20,10 @@ ignored, an empty table gives no record.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import BinaryType
 
-from .common import arrow_rows, shared_path
+from .common import arrow_rows, materialise, shared_path, ship
 
 ARCHIVE_BYTES = 64 << 20      # expected size of an archive
 READ_BLOCK = 16 << 20         # ranges of one block of an archive are read by one task
@@ -36,6 +41,8 @@ GAP = 64 << 10                # smaller gaps between wanted ranges are read thro
 RUN = 8 << 20                 # longest joined range (a single record may be longer)
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
+LEVEL = 4                     # of compression
+EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000030300000000000000" "0000")
 
 READ = ("page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, "
         "refers_to long, digest_ok boolean")
@@ -48,6 +55,18 @@ def base32_of_hex(hexed: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+@F.arrow_udf(BinaryType())
+def _packed(html: pa.Array) -> pa.Array:
+    return pa.array([zlib.compress(x.as_py().encode(), 1) for x in html], pa.binary())
+
+
+@F.arrow_udf(BinaryType())
+def _member(head: pa.Array, packed: pa.Array) -> pa.Array:
+    """The gzip member of a record: its head, then the payload if it has one."""
+    return pa.array([gzip.compress(h.as_py().encode() + (zlib.decompress(z.as_py()) if z.is_valid else b"") + END.encode(), LEVEL, mtime=0)
+                     for h, z in zip(head, packed)], pa.binary())
+
+
 def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """Record metadata and payload per page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
@@ -56,9 +75,9 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
                              "payload_digest": base32_of_hex(F.sha1(F.col("html").cast("binary")))})
     firsts = (rows.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes")
               .agg(F.min("page_id").alias("first_id")))
-    rows = rows.join(firsts, ["payload_digest", "payload_bytes"], "left")
+    rows = rows.withColumn("packed", _packed("html")).drop("html").join(firsts, ["payload_digest", "payload_bytes"], "left")
     revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.col("page_id").isNull() & F.col("first_id").isNotNull())
-    return rows.select("page_id", "url", "html", "payload_bytes", "payload_digest",
+    return rows.select("page_id", "url", "packed", "payload_bytes", "payload_digest",
                        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
                        F.when(revisit, F.col("first_id")).alias("refers_to"))
 
@@ -99,20 +118,23 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, archive_bytes:
     """Write the archives; returns the index: archive, offset, length, url,
     payload_digest, page_id, record_type."""
     spark = pages.sparkSession
+    ship(spark)
     root = shared_path(spark, "warc")
-    size = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit(""))) + 700).alias("n")).first().n or 0
-    shards = max(1, math.ceil(size / archive_bytes))
+    response = F.col("record_type") == "response"
+    made = (records(pages, min_revisit_bytes).withColumn("member", _member(record_head(), F.when(response, F.col("packed"))))
+            .withColumn("length", F.octet_length("member").cast("long")))
     order = ["page_id", "url", "payload_digest", "record_type", "length"]
-    ready = (records(pages, min_revisit_bytes).withColumn("head", record_head())
-             .withColumn("length", (F.octet_length("head") + _kept_bytes() + len(END)).cast("long"))
-             .withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "payload_digest"), F.lit(shards)).cast("int")))
-    payload = F.when(F.col("record_type") == "response", F.col("html")).otherwise(F.lit(""))
-    (ready.select("shard", F.concat("head", payload).alias("value"), *order).repartition(shards, "shard")
-     .sortWithinPartitions("shard", *order).select("shard", "value")
-     .write.partitionBy("shard").option("lineSep", END).text(f"{root}/archives"))
+    made = materialise(made.select(*order, "member"), "warc-records")
+    size = made.agg(F.sum(F.col("length") + len(EMPTY_MEMBER)).alias("n")).first().n or 0
+    shards = max(1, math.ceil(size / archive_bytes))
+    ready = made.withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "payload_digest"), F.lit(shards)).cast("int"))
+    (ready.repartition(shards, "shard").sortWithinPartitions("shard", *order)
+     .select("shard", F.col("member").cast("string").alias("value"))
+     .write.partitionBy("shard").option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
+     .text(f"{root}/archives"))
+    before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     index = (ready.select("shard", *order)
-             .withColumn("offset", F.sum("length").over(Window.partitionBy("shard").orderBy(*order).rowsBetween(
-                 Window.unboundedPreceding, -1))).withColumn("offset", F.coalesce("offset", F.lit(0))))
+             .withColumn("offset", F.coalesce(F.sum(F.col("length") + len(EMPTY_MEMBER)).over(before), F.lit(0))))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{root}/archives")
              .select("shard", F.col("path").alias("archive")))
     index.join(files, "shard").select("archive", "offset", "length", "url", "payload_digest", "page_id", "record_type") \
@@ -165,7 +187,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with store.open_input_file(path) as file:
                 for first, size, members in joined_ranges([(offsets[r], lengths[r]) for r in rows]):
                     data = file.read_at(size, first)
-                    found = [parse_record(data[offsets[r] - first:offsets[r] - first + lengths[r]])
+                    found = [parse_record(gzip.decompress(data[offsets[r] - first:offsets[r] - first + lengths[r]]))
                              for r in (rows[m] for m in members)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
