@@ -36,7 +36,7 @@ from pyspark.sql.types import BinaryType
 from .common import arrow_rows, materialise, shared_path, ship
 
 ARCHIVE_BYTES = 64 << 20      # expected size of an archive
-READ_BLOCK = 16 << 20         # ranges of one block of an archive are read by one task
+READ_BLOCK = 8 << 20          # ranges of one block of an archive are read by one task
 GAP = 64 << 10                # smaller gaps between wanted ranges are read through
 RUN = 8 << 20                 # longest joined range (a single record may be longer)
 DATE = "2024-01-01T00:00:00Z"
@@ -195,5 +195,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(index: DataFrame) -> DataFrame:
     """The records of the given index rows, whatever selection they are."""
     spots = index.select("archive", "offset", "length", F.floor(F.col("offset") / READ_BLOCK).alias("block"))
-    spots = spots.repartition(F.col("archive"), F.col("block")).sortWithinPartitions("archive", "block", "offset")
+    size = index.agg(F.sum("length").alias("n")).first().n or 0
+    spots = (spots.repartition(max(1, math.ceil(size / READ_BLOCK)), "archive", "block")
+             .sortWithinPartitions("archive", "block", "offset"))
     return arrow_rows(READ, _read, spots.select("archive", "offset", "length"))
