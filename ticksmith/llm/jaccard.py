@@ -5,11 +5,11 @@ ordered alike: by class of document frequency, rare shingles first, then by
 hash.  Two sets can only reach the threshold if the first few shingles of
 each in that order (the prefix) have one in common.
 
-1. ``frequency_classes``: counts the shingles in the low-hash part of each
-   set over all documents (packed arrays are shuffled, never one row per
+1. ``frequency_classes``: counts the shingles of the lower half of all hash
+   values over all documents (packed arrays are shuffled, never one row per
    shingle) and keeps the largest frequency class per cell of a table of
-   fixed size.  Any order gives right results; a sharper one, fewer
-   candidates.
+   fixed size.  The half that is not counted comes last in the order.  Any
+   order gives right results; a sharper one, fewer candidates.
 2. ``postings``: per document its set's key and size, and the prefix
    postings (shingle, key, size), packed by hash range.  A range is sorted;
    neighbours in a shingle's list with sizes that can match are connected.
@@ -47,7 +47,7 @@ from .common import Forest, WordHashes, arrow_rows, collect_bits, components, ma
 WORDS = 4
 PERCENT = 85
 CELLS = 1 << 24              # of the frequency table, a byte each
-ORDERED = 2                  # the counted low-hash part, in prefix lengths
+COUNTED = np.uint64(1 << 63)  # shingles with smaller hashes are counted and come first in the order
 DOCS_PER_RANGE = 400
 FLUSH = 1_500_000            # packed entries a task holds before it passes them on
 BLOCK = 1_500                # sets of one trie
@@ -128,16 +128,18 @@ class _Ranges:
         return where[first].tolist(), [e.tobytes() for e in np.split(entries, first[1:])]
 
 
-def frequency_classes(docs: DataFrame, ranges: int, words: int = WORDS, percent: int = PERCENT) -> np.ndarray:
+def frequency_classes(docs: DataFrame, ranges: int, words: int = WORDS) -> np.ndarray:
     """Cell -> largest log2 class of the document frequency of its shingles."""
+    lead = _U(int(math.log2(ranges)))
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, held = Shingler(words), _Ranges(ranges)
         pack = lambda r: pa.RecordBatch.from_arrays([pa.array(r[0], pa.int64()), pa.array(r[1], pa.binary())], names=["part", "data"])
         for batch in batches:
             for text in batch.column(0):
                 own = shingles(text.as_py() or b"")
-                low = own[:ORDERED * prefix_size(len(own), percent)] if len(own) else own
-                held.add(low, low)
+                low = own[:np.searchsorted(own, COUNTED)]
+                held.add(low, (low << lead >> _U(32)).astype(np.uint32))     # the 32 bits after those of the range
                 if held.size > FLUSH:
                     yield pack(held.flush(False))
         yield pack(held.flush(False))
@@ -145,12 +147,12 @@ def frequency_classes(docs: DataFrame, ranges: int, words: int = WORDS, percent:
     span = CELLS // ranges
 
     def reduce(rows: pa.Table) -> pa.Table:
-        tokens = np.sort(np.concatenate([np.frombuffer(x.as_py(), _U) for x in rows.column("data")]))
+        tokens = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows.column("data")]))
         part = rows.column("part")[0].as_py()
-        first = np.flatnonzero(np.diff(tokens, prepend=tokens[0] ^ _U(1)))
+        first = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
         count = np.diff(first, append=len(tokens))
         level = np.where(count > 1, np.ceil(np.log2(count)), 0).astype(np.uint8).clip(0, 31)
-        cell = (tokens[first] >> _U(64 - int(math.log2(CELLS)))).astype(np.int64) - part * span
+        cell = tokens[first].astype(np.int64) >> (32 - int(math.log2(span)))
         table = np.zeros(span, np.uint8)
         edge = np.flatnonzero(np.diff(cell, prepend=-1))
         table[cell[edge]] = np.maximum.reduceat(level, edge)
@@ -163,8 +165,13 @@ def frequency_classes(docs: DataFrame, ranges: int, words: int = WORDS, percent:
 def ordered_prefix(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
     """The prefix of a set in the common order (as a set)."""
     p = prefix_size(len(tokens), percent)
-    rank = (classes[(tokens >> _U(64 - int(math.log2(CELLS)))).astype(np.int64)].astype(_U) << _U(59)) | (tokens >> _U(5))
-    return tokens[np.argpartition(rank, p - 1)[:p]] if p < len(tokens) else tokens
+    if p >= len(tokens):
+        return tokens
+    low = int(np.searchsorted(tokens, COUNTED))
+    if low <= p:
+        return tokens[:p]
+    rank = (classes[(tokens[:low] >> _U(64 - int(math.log2(CELLS)))).astype(np.int64)].astype(_U) << _U(59)) | (tokens[:low] >> _U(5))
+    return tokens[np.argpartition(rank, p - 1)[:p]]
 
 
 def postings(docs: DataFrame, classes: np.ndarray, ranges: int, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -348,19 +355,23 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
 
 def verify(docs: DataFrame, candidates: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``candidates(doc_id, key, family)``, one document per set -> links
+    """``candidates(doc_id, key, n_shingles, family)``, one document per set -> links
     (a, b) by doc_id, a spanning forest of those of each family."""
-    sets = candidate_sets(docs, candidates, words).dropDuplicates(["doc_id", "key"]).withColumnsRenamed({"doc_id": "d", "key": "k"})
+    sets = candidate_sets(docs, candidates, words).withColumnsRenamed({"doc_id": "d", "key": "k"})
     size = candidates.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
-    own = candidates.join(size, "family").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    total = own.count()
-    bins = max(1, math.ceil(total / BIN))
+    # sets of a large family only meet those of their own and the next size band; sizes that can match are at most one band apart
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent)).cast("int")
+    own = candidates.join(size, "family").withColumn(
+        "part", F.explode(F.when(F.col("members") > BLOCK, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))))
+    size = own.groupBy("family", "part").agg(F.count(F.lit(1)).alias("sets"))
+    own = own.join(size, ["family", "part"]).withColumn("blocks", F.ceil(F.col("sets") / BLOCK).cast("int"))
+    bins = max(1, math.ceil(candidates.count() / BIN))
     own = own.withColumn("mine", F.pmod(F.xxhash64(F.lit(1), "doc_id", "key"), F.col("blocks")).cast("int"))
-    own = own.select("doc_id", "key", "family", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "blocks")
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.where((F.col("blocks") == 1) | (F.col("mine") != F.col("other")))       # pairs within a block are in each of its pairs
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     # small families share a bin; each pair of blocks of a large one is a group of its own
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.xxhash64("family", low, high))
-    own = own.where((F.col("blocks") == 1) | (F.col("mine") != F.col("other")))       # pairs within a block are in each of its pairs
+    group = F.when(F.col("members") <= BLOCK, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.xxhash64("family", "part", low, high))
     own = own.withColumn("grp", group)
     full = own.join(sets, (F.col("doc_id") == F.col("d")) & (F.col("key") == F.col("k"))).select("grp", "family", "doc_id", "tokens")
 
@@ -383,7 +394,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """doc_id, n_shingles, component_id of every document."""
     ship(docs.sparkSession)
     ranges = power_of_two(docs.count() / DOCS_PER_RANGE, 16, 1 << 18)
-    rows = postings(docs, frequency_classes(docs, ranges, words, percent), ranges, words, percent)
+    rows = postings(docs, frequency_classes(docs, ranges, words), ranges, words, percent)
     sets = rows.where("n_shingles is not null").select("doc_id", "n_shingles", "key", "key64")
 
     def connect(table: pa.Table) -> pa.Table:
@@ -393,8 +404,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     edges = rows.where("part is not null").select("part", "data").groupBy("part").applyInArrow(connect, "a long, b long")
     families = components(edges, "jaccard-families").select(F.col("node").alias("key64"), F.col("component").alias("family"))
     classes = materialise(sets.where("key is not null").groupBy("key")
-                          .agg(F.min("doc_id").alias("rep"), F.min("key64").alias("key64")), "jaccard-classes")
-    candidates = materialise(classes.where("rep is not null").join(families, "key64").select(F.col("rep").alias("doc_id"), "key", "family"),
+                          .agg(F.min("doc_id").alias("rep"), F.min("key64").alias("key64"),
+                               F.min("n_shingles").alias("n_shingles")), "jaccard-classes")
+    candidates = materialise(classes.where("rep is not null").join(families, "key64").select(F.col("rep").alias("doc_id"), "key", "n_shingles", "family"),
                              "jaccard-candidates")
     links = verify(docs, candidates, words, percent)
     shared = sets.where("doc_id is not null and key is not null").groupBy("doc_id").agg(F.count_distinct("key").alias("n")).where("n > 1")
@@ -403,7 +415,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     groups = components(links.unionByName(same_id), "jaccard-groups")
     classes = (classes.join(groups, F.col("rep") == F.col("node"), "left")
                .select("key", F.coalesce("component", "rep").alias("component")))
-    out = sets.drop("key64").join(classes, "key", "left")
+    out = sets.select("doc_id", "n_shingles", "key").join(classes, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
