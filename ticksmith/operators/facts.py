@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import grenade_category, safe_ratio
-from .joins import bounded_broadcast
 
 PLAYER_KEY = ["match_id", "steamid"]
 
@@ -118,7 +117,7 @@ def posicionamento(digest: DataFrame, rate: DataFrame) -> DataFrame:
     group).  Matches without a tick rate have no rows."""
     per_place = (digest.groupBy("match_id", "steamid", "place")
                  .agg(F.min("nome").alias("nome"), F.sum("qtd_ticks").alias("qtd_ticks")))
-    return (per_place.join(bounded_broadcast(rate), "match_id")
+    return (per_place.join(rate, "match_id")
             .select("match_id", "steamid", "nome", "place", "qtd_ticks",
                     F.try_divide(F.col("qtd_ticks"), F.col("taxa_de_tick")).alias("segundos_no_local")))
 
@@ -210,7 +209,7 @@ def headshots_by_place(silver_kills: DataFrame, dim: DataFrame, steamid=None, pl
         d = d.where(F.col("mapa") == F.lit(mapa))
     if fases is not None:
         d = d.where(F.col("fase").isin(list(fases)))
-    return (k.join(bounded_broadcast(d), "match_id")
+    return (k.join(d, "match_id")
             .groupBy("evento", "fase", "mapa", F.col("attacker_steamid").alias("steamid"),
                      F.col("attacker_place").alias("place"))
             .agg(F.count(F.lit(1)).alias("headshots")))

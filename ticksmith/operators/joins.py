@@ -1,4 +1,6 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers.  The engine leaves the join form to adaptive execution (a
+side small by its measured size is broadcast, a skewed shuffle join is split);
+``bounded_broadcast`` stays for callers that want the choice made up front."""
 
 from __future__ import annotations
 
@@ -63,8 +65,7 @@ class MatchBatch:
     """A batch of match ids, read once.  Up to MAX_INLIST ids are kept as a
     literal list: ``restrict`` then becomes an IN filter that prunes
     partition folders (bronze) or skips Parquet row groups (silver / gold,
-    files sorted by match).  Larger batches use a size-checked broadcast
-    semi-join."""
+    files sorted by match).  Larger batches use a semi-join."""
 
     def __init__(self, ids: DataFrame):
         self.ids = ids.select("match_id")
@@ -75,7 +76,7 @@ class MatchBatch:
     def restrict(self, df: DataFrame) -> DataFrame:
         if self.values is not None:
             return df.where(F.col("match_id").isin(self.values))
-        return df.join(bounded_broadcast(self.ids), "match_id", "left_semi")
+        return df.join(self.ids, "match_id", "left_semi")
 
 
 def restrict(df: DataFrame, ids: DataFrame | MatchBatch) -> DataFrame:

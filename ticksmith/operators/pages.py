@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 # fixed values: paging limits of the read API
 DEFAULT_PAGE_SIZE = 50
@@ -69,7 +68,7 @@ def page_base(fact: DataFrame, dim: DataFrame | None, join_dim: bool) -> DataFra
     if not join_dim:
         return fact
     d = dim.select("match_id", *DIM_COLUMNS)
-    return fact.join(bounded_broadcast(d), "match_id")
+    return fact.join(d, "match_id")
 
 
 def whitelist_filter(df: DataFrame, filters: dict, allowed) -> DataFrame:

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 # fixed values: (fact, metric, total column, extra grain) of each ranking
 FACTS = {
@@ -47,7 +46,7 @@ def rank(fact: DataFrame, spec: RankingSpec, dim: DataFrame | None = None) -> Da
     src = fact
     if spec.scope:
         d = dim.select("match_id", *spec.scope)
-        src = fact.join(bounded_broadcast(d), "match_id")
+        src = fact.join(d, "match_id")
     keys = [*spec.scope, "steamid", *spec.extra]
     out = src.groupBy(*keys).agg(F.min("nome").alias("nome"), F.sum(spec.metric).alias(spec.total))
     if spec.positive_only:

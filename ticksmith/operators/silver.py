@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import (blank, cast_code, not_in_list, tick_to_seconds, to_double, to_int,
                                  to_ts)
 from ..schemas import CLOCKED_TABLES, COLUMNS
-from .joins import bounded_broadcast
 
 SECONDS = "segundos_desde_inicio_round"
 
@@ -68,7 +67,7 @@ def round_clock(bronze_rounds: DataFrame, rate: DataFrame) -> DataFrame:
     """Round start joined with the match rate, so event tables need one
     lookup join instead of two.  (Same rows as joining the two separately:
     the rate has one row per match.)"""
-    return round_start(bronze_rounds).join(bounded_broadcast(rate), "match_id", "left")
+    return round_start(bronze_rounds).join(rate, "match_id", "left")
 
 
 # ---------------------------------------------------------------- typing
@@ -88,7 +87,7 @@ def typed(bronze: DataFrame, table: str) -> DataFrame:
 
 
 def _with_seconds(df: DataFrame, clock: DataFrame, table: str) -> DataFrame:
-    joined = df.join(bounded_broadcast(clock), ["match_id", "round_num"], "left")
+    joined = df.join(clock, ["match_id", "round_num"], "left")
     cols = []
     for c, _ in COLUMNS[table]:
         cols.append(F.col(c))
@@ -105,7 +104,7 @@ def silver_header(bronze_header: DataFrame) -> DataFrame:
 
 
 def silver_rounds(bronze_rounds: DataFrame, rate: DataFrame) -> DataFrame:
-    t = typed(bronze_rounds, "rounds").join(bounded_broadcast(rate), "match_id", "left")
+    t = typed(bronze_rounds, "rounds").join(rate, "match_id", "left")
     cols = [F.col(c) for c, _ in COLUMNS["rounds"]]
     dur = F.try_divide(F.col("end") - F.col("start"), F.col("taxa_de_tick")).alias("duracao_segundos")
     return t.select(*cols, dur, "match_id", "_arquivo_origem", "_carregado_em")
@@ -127,7 +126,7 @@ def silver_kills(bronze_kills: DataFrame, clock: DataFrame) -> DataFrame:
     t = typed(bronze_kills, "kills")
     artefacts = restart_artifacts(bronze_kills).select("match_id", "round_num", "tick")
     # NULL keys never match, exactly like the equality anti-join they replace
-    clean = t.join(bounded_broadcast(artefacts), ["match_id", "round_num", "tick"], "left_anti")
+    clean = t.join(artefacts, ["match_id", "round_num", "tick"], "left_anti")
     return _with_seconds(clean, clock, "kills")
 
 

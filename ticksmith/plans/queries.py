@@ -18,7 +18,6 @@ from ..operators import pages as P
 from ..operators import quality as Q
 from ..operators import ranking as R
 from ..operators import silver as S
-from ..operators.joins import bounded_broadcast
 from ..schemas import COLUMNS
 from ..sources import bronze as B
 from ..sources import stitch as ST
@@ -136,7 +135,7 @@ SELECT t.match_id, count(*) AS n_ticks, r.taxa_de_tick
 FROM s_ticks t JOIN o_rate r USING (match_id) GROUP BY t.match_id, r.taxa_de_tick""")
 def q_inner_using(ws):
     per = ws.silver.table("ticks").groupBy("match_id").agg(F.count(F.lit(1)).alias("n_ticks"))
-    return per.join(bounded_broadcast(ws.silver.rate), "match_id").select("match_id", "n_ticks", "taxa_de_tick")
+    return per.join(ws.silver.rate, "match_id").select("match_id", "n_ticks", "taxa_de_tick")
 
 
 @register("inner_on_multi", """
@@ -171,7 +170,7 @@ FROM bronze_bomb b LEFT JOIN o_round_start rs ON rs.match_id = b.match_id
 def q_left_on_expr(ws):
     b = ws.bronze.table("bomb").select("match_id", to_int(blank("round_num")).alias("round_num"),
                                         to_int(blank("tick")).alias("tick"))
-    return b.join(bounded_broadcast(S.round_start(ws.bronze.table("rounds"))), ["match_id", "round_num"], "left")
+    return b.join(S.round_start(ws.bronze.table("rounds")), ["match_id", "round_num"], "left")
 
 
 @register("anti_left_null", """
@@ -185,7 +184,7 @@ def q_anti_left_null(ws):
                                          to_int(blank("tick")).alias("tick"),
                                          to_bigint(blank("victim_steamid")).alias("victim_steamid"))
     art = S.restart_artifacts(ws.bronze.table("kills")).select("match_id", "round_num", "tick")
-    return k.join(bounded_broadcast(art), ["match_id", "round_num", "tick"], "left_anti")
+    return k.join(art, ["match_id", "round_num", "tick"], "left_anti")
 
 
 @register("not_in_subquery", """

@@ -14,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",      # by measured size
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.mergeSchema": "false",
@@ -54,14 +55,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``).  Only when nothing is configured (local tests)
-    a fresh private folder is created and registered."""
+    (``spark.checkpoint.dir``).  Only on a local master with nothing
+    configured (tests) a fresh private folder is created and registered; on a
+    cluster a machine-local folder would not be shared, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="ticksmith-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -19,7 +19,7 @@ PARTITION_COLS = ["evento", "fase", "match_id"]
 NAME_SEGMENT_RE = r"^[A-Za-z0-9_-]+$"        # evento / fase folder names
 RECORDING_NAME_RE = r"^[A-Za-z0-9_-]+\.dem$"   # one recording file name
 PART_SUFFIX_RE = r"^(.+)-p([0-9]+)$"           # "<base>-p<N>" split recordings
-MAX_BATCH_ENTRIES = 200                        # archive entries accepted per batch
+MAX_BATCH_ENTRIES = 200                        # archive entries accepted per batch by the upload form
 _WS = "[ \t\n\r\x0b\x0c]"                      # whitespace stripped from form fields
 
 
@@ -139,23 +139,23 @@ def manifest_validate(manifest: DataFrame) -> DataFrame:
 
 
 def batch_members(entries: DataFrame, batch_col: str = "lote", path_col: str = "entrada",
-                  max_entries: int = MAX_BATCH_ENTRIES) -> DataFrame:
+                  max_entries: int | None = MAX_BATCH_ENTRIES) -> DataFrame:
     """Select recordings from archive entries.
 
-    Folders (paths ending in '/') are not entries.  A batch with more than
-    ``max_entries`` entries is refused whole.  Otherwise each entry's base
+    Folders (paths ending in '/') are not entries.  A
+    batch with more than ``max_entries`` entries (None: no limit) is refused
+    whole.  Otherwise each entry's base
     name decides: not ``.dem`` -> ignored, bad name -> rejected, else
     accepted.  Batch sizes come from a partial aggregate joined back (no
     window over a possibly huge batch)."""
     files = entries.where(~F.col(path_col).endswith("/"))
     sizes = files.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n_entradas"))
     name = F.substring_index(F.col(path_col), "/", -1)
-    status = (F.when(F.col("n_entradas") > max_entries, F.lit("batch_refused"))
+    status = (F.when(F.lit(False) if max_entries is None else F.col("n_entradas") > max_entries, F.lit("batch_refused"))
               .when(~F.lower(name).endswith(".dem"), F.lit("ignored"))
               .when(~name.rlike(RECORDING_NAME_RE), F.lit("rejected"))
               .otherwise(F.lit("accepted")))
-    from ..operators.joins import bounded_broadcast   # (sizes: one row per batch)
-    return (files.join(bounded_broadcast(sizes), batch_col)
+    return (files.join(sizes, batch_col)
             .select("*", name.alias("nome_base"), status.alias("status")))
 
 
@@ -185,15 +185,15 @@ def bronze_scan(spark: SparkSession, root: str, table: str, discover: bool = Fal
 
 def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append") -> None:
     """Land one table: strings only, partitioned by tournament / stage /
-    match.  With dynamic partition overwrite only the matches present in
-    ``df`` are replaced."""
+    match.  ``mode="overwrite"`` replaces exactly the matches present in
+    ``df``, whatever the session's overwrite mode."""
     out = conform_bronze(stringify(df), table)
     ev, fa = match_parts_of(F.col("match_id"))
     out = out.withColumn("evento", ev).withColumn("fase", fa)
     # rebalance: one file per match in the common case; AQE splits a hot
     # match over several tasks instead of funnelling it through one
     (out.hint("rebalance", *PARTITION_COLS)
-        .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(table_path(root, table)))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(table_path(root, table)))
 
 
 def loaded_matches(spark: SparkSession, root: str) -> DataFrame:
@@ -212,19 +212,17 @@ def skip_loaded(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
     return candidates.join(keys, "match_id", "left_anti")
 
 
-def drop_matches(spark: SparkSession, root: str, match_ids: list[str]) -> None:
+def drop_matches(spark: SparkSession, root: str, match_ids: Iterable[str]) -> None:
     """Remove the given matches from every bronze table (reload / replace):
     delete their partition folders through the Hadoop file system so a table
     that has no rows for the match in the new load keeps none either."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for table in ALL_TABLES:
-        base = table_path(root, table)
-        path = jvm.org.apache.hadoop.fs.Path(base)
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            continue
-        for mid in match_ids:
+    # the header goes first: a match half removed by a crash is not taken for a loaded one
+    bases = [table_path(root, t) for t in ALL_TABLES]
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
+    for mid in match_ids:
+        for base in bases:
             ev, fa = (mid.split("/") + ["", ""])[:2]
             part = "match_id=" + _escape_partition(mid)
             target = jvm.org.apache.hadoop.fs.Path(f"{base}/evento={_escape_partition(ev)}/fase={_escape_partition(fa)}/{part}")
@@ -249,8 +247,14 @@ def _escape_partition(v: str) -> str:
 def replace_match(spark: SparkSession, root: str, tables: dict[str, DataFrame], match_ids: list[str]) -> None:
     """Forced reload: drop the matches from all nine tables, then append."""
     drop_matches(spark, root, match_ids)
-    for name, df in tables.items():
-        write_bronze(df, root, name, mode="append")
+    for name in header_last(tables):
+        write_bronze(tables[name], root, name, mode="append")
+
+
+def header_last(tables: Iterable[str]) -> list[str]:
+    """The header marks a match as loaded, so it is written last: a load cut
+    short by a crash is repeated, not skipped."""
+    return sorted(tables, key=lambda t: t == "header")
 
 
 def clear_layer(spark: SparkSession, root: str) -> bool:

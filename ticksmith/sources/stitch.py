@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
 
 ROUND_TICK_COLUMNS = ["start", "freeze_end", "end", "official_end", "bomb_plant"]
 NO_TICK = -1   # cvar reported before recording started: never shifted
@@ -40,7 +39,7 @@ def part_offsets(rounds: DataFrame, ticks: DataFrame | None = None) -> DataFrame
 
 
 def shift_table(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
-    j = df.join(bounded_broadcast(offsets), ["match_id", "parte"], "left")
+    j = df.join(offsets, ["match_id", "parte"], "left")
     ro = F.coalesce(F.col("round_offset"), F.lit(0))
     to = F.coalesce(F.col("tick_offset"), F.lit(0))
     out = j

@@ -36,14 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank, to_bigint
-from ..operators.joins import MatchBatch, bounded_broadcast
+from ..operators.joins import MatchBatch
 from ..schemas import ALL_TABLES
 from ..sources import bronze as B
 from ..sources.stitch import part_offsets
 
 REQUEST_SCHEMA = "evento string, fase string, arquivo string, forcar boolean"
-MAX_FORCED_PER_BATCH = 10_000
-MAX_ISOLATED_PER_BATCH = 1_000
 STATUS_COLUMNS = ["request_file", "evento", "fase", "arquivo", "match_id", "status", "erro", "epoch"]
 
 
@@ -60,7 +58,7 @@ def _staged(spark: SparkSession, staged_root: str, table: str) -> DataFrame | No
 def _shift_strings(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
     """Stitch offsets on bronze (string) columns: parse, shift, write back
     as text; the no-tick sentinel of cvars stays."""
-    j = df.join(bounded_broadcast(offsets), ["match_id", "parte"], "left")
+    j = df.join(offsets, ["match_id", "parte"], "left")
     ro = F.coalesce(F.col("round_offset"), F.lit(0))
     to = F.coalesce(F.col("tick_offset"), F.lit(0))
 
@@ -101,7 +99,7 @@ def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids:
             # staged by identity (ideally as a partition column): prune to the batch's matches first
             st = batch.restrict(st)
         st = B.with_identity(st.withColumnRenamed("match_id", "_mid_staged"), "caminho").drop("_mid_staged")
-        parts[t] = st.join(bounded_broadcast(ids), "match_id", "left_semi")
+        parts[t] = st.join(ids, "match_id", "left_semi")
     if "rounds" not in parts:
         return
     r = parts["rounds"].select("match_id", "parte", to_bigint(blank("round_num")).alias("round_num"),
@@ -109,7 +107,8 @@ def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids:
     tk = (parts["ticks"].select("match_id", "parte", to_bigint(blank("tick")).alias("tick"))
           if "ticks" in parts else None)
     offsets = part_offsets(r, tk).checkpoint()
-    for t, df in parts.items():
+    for t in B.header_last(parts):
+        df = parts[t]
         if t == "header":
             first = df.groupBy("match_id").agg(F.min("parte").alias("parte"))
             # parts per recording are few: the ordered list of their sources is small
@@ -130,17 +129,14 @@ def _land_one_by_one(spark: SparkSession, staged_root: str, bronze_root: str, id
     """Slow path after a failed batch: land each match on its own; a match
     that fails is removed from bronze again (no half-landed match) and
     reported with its error."""
-    chosen = ids.limit(MAX_ISOLATED_PER_BATCH + 1).collect()    # bounded: one micro-batch of requests
-    if len(chosen) > MAX_ISOLATED_PER_BATCH:
-        raise RuntimeError("batch failed and is too large to isolate per match; lower maxFilesPerTrigger")
     errors = []
-    for row in chosen:
+    for row in ids.toLocalIterator():          # one match after another, as many as there are
         one = spark.createDataFrame([(row.match_id,)], "match_id string")
         try:
             _land_matches(spark, staged_root, bronze_root, one, loaded_at)
         except Exception as exc:  # reported per match, the others go on
             B.drop_matches(spark, bronze_root, [row.match_id])
-            errors.append((row.match_id, str(exc).strip().splitlines()[0][:500]))
+            errors.append((row.match_id, str(exc).strip()))
     return spark.createDataFrame(errors, "match_id string, erro_carga string")
 
 
@@ -150,17 +146,12 @@ def land_requests(batch: DataFrame, epoch: int, staged_root: str, bronze_root: s
     reqs = batch.withColumn("item_id", F.monotonically_increasing_id())
     v = B.manifest_validate(reqs).join(reqs.select("item_id", "request_file", "forcar"), "item_id")
     accepted = B.with_identity(B.manifest_paths(v.where("aceito"))).checkpoint()
-    forced = (accepted.where(F.coalesce(F.col("forcar"), F.lit(False))).select("match_id").distinct()
-              .limit(MAX_FORCED_PER_BATCH + 1).collect())   # bounded: folder deletes are driver-side metadata ops
-    if len(forced) > MAX_FORCED_PER_BATCH:
-        raise ValueError(f"more than {MAX_FORCED_PER_BATCH} forced reloads in one batch; lower maxFilesPerTrigger")
-    forced_ids = [r.match_id for r in forced]
+    forced = accepted.where(F.coalesce(F.col("forcar"), F.lit(False))).select("match_id").distinct()
     loaded = B.loaded_matches(spark, bronze_root)
     todo = B.skip_loaded(accepted.where(~F.coalesce(F.col("forcar"), F.lit(False))), loaded).unionByName(
         accepted.where(F.coalesce(F.col("forcar"), F.lit(False))))
     todo = todo.checkpoint()
-    if forced_ids:
-        B.drop_matches(spark, bronze_root, forced_ids)
+    B.drop_matches(spark, bronze_root, (r.match_id for r in forced.toLocalIterator()))
 
     ids = todo.select("match_id").distinct()
     try:
@@ -170,7 +161,11 @@ def land_requests(batch: DataFrame, epoch: int, staged_root: str, bronze_root: s
         # isolate: one match at a time, so one bad recording does not stop the others
         failed = _land_one_by_one(spark, staged_root, bronze_root, ids, loaded_at)
 
-    landed = (todo.join(failed, "match_id", "left")
+    # loaded is what has a header now; a recording without staged rows has none
+    present = B.loaded_matches(spark, bronze_root).withColumn("presente", F.lit(True))
+    landed = (todo.join(failed, "match_id", "left").join(present, "match_id", "left")
+              .withColumn("erro_carga", F.when(F.col("erro_carga").isNull() & F.col("presente").isNull(),
+                                               F.lit("no rows landed")).otherwise(F.col("erro_carga")))
               .select("item_id", "match_id",
                       F.when(F.col("erro_carga").isNull(), F.lit("loaded")).otherwise(F.lit("error")).alias("status"),
                       "erro_carga"))
@@ -188,9 +183,10 @@ def land_requests(batch: DataFrame, epoch: int, staged_root: str, bronze_root: s
 
 
 def ingest_stream(spark: SparkSession, landing: str, staged_root: str, bronze_root: str, status_path: str,
-                  checkpoint: str, clean_source: str | None = None, available_now: bool = True):
+                  checkpoint: str, clean_source: str | None = None, available_now: bool = True,
+                  max_files: int = 100):
     """Start the landing stream; returns the StreamingQuery."""
-    reader = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 100))
+    reader = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files))
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
     reqs = reader.json(landing).withColumn("request_file", F.input_file_name())
