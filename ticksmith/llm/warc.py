@@ -135,8 +135,9 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, archive_bytes:
     before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     index = (ready.select("shard", *order)
              .withColumn("offset", F.coalesce(F.sum(F.col("length") + len(EMPTY_MEMBER)).over(before), F.lit(0))))
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{root}/archives")
-             .select("shard", F.col("path").alias("archive")))
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+             .load(f"{root}/archives")
+             .select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), F.col("path").alias("archive")))
     index.join(files, "shard").select("archive", "offset", "length", "url", "payload_digest", "page_id", "record_type") \
         .write.parquet(f"{root}/index")
     return spark.read.parquet(f"{root}/index")
