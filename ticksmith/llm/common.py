@@ -134,28 +134,75 @@ def spanning_edges(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.
     return nodes[pairs[kept, 0]], nodes[pairs[kept, 1]]
 
 
+CONTRACT = 500_000           # edges that one task contracts at a time
+
+
+def local_stars(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given links' components as stars: every node but the smallest of
+    its component, with that smallest node."""
+    if not len(left):
+        return left, right
+    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    forest = Forest(len(nodes))
+    for i, j in at.reshape(2, -1).T.tolist():
+        forest.union(i, j)
+    root = np.fromiter(map(forest.find, range(len(nodes))), np.int64, len(nodes))
+    leaf = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[leaf], nodes[root[leaf]]
+
+
+def _contract(edges: DataFrame, name: str) -> DataFrame:
+    """Each task replaces its edges, ``CONTRACT`` at a time, by the stars of
+    their components.  Nodes and connectivity stay; the number of tasks
+    grows with the edges."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def stars() -> pa.RecordBatch:
+            a, b = local_stars(*(np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1)))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= CONTRACT:
+                yield stars()
+                held, size = [], 0
+        if held:
+            yield stars()
+
+    tasks = max(1, -(-edges.count() // CONTRACT))
+    return materialise(arrow_rows("a long, b long", make, edges.coalesce(tasks)), name)
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """No node has two edges upwards, or edges both ways."""
+    ends = (edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
+    return odd.isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges(a, b)`` -> ``(node, component)``,
+    """Connected components of ``edges(a, b)`` (longs) -> ``(node, component)``,
     component = the smallest node.  Nodes without an edge are not returned.
 
-    Each round links every neighbour of a node, and the node, to the smallest
-    of them.  The graph tends to one star per component, in about log(diameter)
-    rounds; each round is written to the shared folder.  Minima are
-    pre-aggregated, and the join back is by node, so AQE splits a hub."""
-    current = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                          .where("a <> b").distinct(), name)
-    seen = None
+    Tasks contract their edges to stars.  While stars still meet, a round
+    links every neighbour of a node, and the node, to the smallest of them,
+    and the result is contracted again.  That tends to one star per component
+    in about log(diameter) rounds at most; each step is written to the shared
+    folder.  Minima are pre-aggregated, and the join back is by node, so AQE
+    splits a hub."""
+    down = (F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = _contract(materialise(edges.select(*down).where("a <> b"), name), name)
     for _ in range(most_rounds):
-        mark = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if mark.n == 0 or (mark.n, mark.h) == seen:
+        if _all_stars(current):
             break
-        seen = (mark.n, mark.h)
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         moved = both.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = materialise(moved.unionByName(least.select("a", F.col("m").alias("b")))
-                              .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                              .distinct(), name)
+        current = _contract(materialise(moved.unionByName(least.select("a", F.col("m").alias("b")))
+                                        .where("a <> b").select(*down).distinct(), name), name)
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return (current.select(F.col("a").alias("node"), F.col("b").alias("component"))
