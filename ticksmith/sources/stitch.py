@@ -15,9 +15,11 @@ size-checked broadcast join of the offsets onto every table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import blank, to_bigint
+
 
 ROUND_TICK_COLUMNS = ["start", "freeze_end", "end", "official_end", "bomb_plant"]
 NO_TICK = -1   # cvar reported before recording started: never shifted
@@ -39,22 +41,23 @@ def part_offsets(rounds: DataFrame, ticks: DataFrame | None = None) -> DataFrame
 
 
 def shift_table(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
-    j = df.join(offsets, ["match_id", "parte"], "left")
-    ro = F.coalesce(F.col("round_offset"), F.lit(0))
-    to = F.coalesce(F.col("tick_offset"), F.lit(0))
-    out = j
-    if table == "rounds":
-        out = out.withColumn("round_num", F.col("round_num") + ro)
-        for c in ROUND_TICK_COLUMNS:
-            if c in df.columns:
-                out = out.withColumn(c, F.col(c) + to)
-    elif table == "cvars":
-        out = out.withColumn("tick", F.when(F.col("tick") != NO_TICK, F.col("tick") + to).otherwise(F.col("tick")))
-    else:
-        if "round_num" in df.columns:
-            out = out.withColumn("round_num", F.col("round_num") + ro)
-        out = out.withColumn("tick", F.col("tick") + to)
-    return out.select(*df.columns)
+    """One table's rounds and ticks moved by the offsets of their part.
+    Typed columns are added to; text columns (bronze) are parsed, moved and
+    written back as text, and blank ones stay."""
+    kinds = dict(df.dtypes)
+    ticks = ROUND_TICK_COLUMNS if table == "rounds" else [] if table == "header" else ["tick"]
+    rounds = [] if table in ("header", "cvars") else ["round_num"]
+
+    def moved(c: str, offset: str) -> Column:
+        text = kinds[c] == "string"
+        v = to_bigint(blank(c)) if text else F.col(c)
+        out = v + F.coalesce(F.col(offset), F.lit(0))
+        if table == "cvars":
+            out = F.when(v == NO_TICK, v).otherwise(out)
+        return F.when(v.isNull(), F.col(c)).otherwise(out.cast("string")) if text else out
+
+    own = {c: moved(c, o) for cols, o in ((rounds, "round_offset"), (ticks, "tick_offset")) for c in cols if c in kinds}
+    return df.join(offsets, ["match_id", "parte"], "left").withColumns(own).select(*df.columns)
 
 
 def stitch_header(headers: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ from ..functions.columns import blank, to_bigint
 from ..operators.joins import MatchBatch
 from ..schemas import ALL_TABLES
 from ..sources import bronze as B
-from ..sources.stitch import part_offsets
+from ..sources.stitch import part_offsets, shift_table
 
 REQUEST_SCHEMA = "evento string, fase string, arquivo string, forcar boolean"
 STATUS_COLUMNS = ["request_file", "evento", "fase", "arquivo", "match_id", "status", "erro", "epoch"]
@@ -55,36 +55,6 @@ def _staged(spark: SparkSession, staged_root: str, table: str) -> DataFrame | No
         raise
 
 
-def _shift_strings(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
-    """Stitch offsets on bronze (string) columns: parse, shift, write back
-    as text; the no-tick sentinel of cvars stays."""
-    j = df.join(offsets, ["match_id", "parte"], "left")
-    ro = F.coalesce(F.col("round_offset"), F.lit(0))
-    to = F.coalesce(F.col("tick_offset"), F.lit(0))
-
-    def shift(c, off, keep_sentinel=False):
-        v = to_bigint(blank(c))
-        moved = (v + off).cast("string")
-        if keep_sentinel:
-            moved = F.when(v == -1, v.cast("string")).otherwise(moved)
-        return F.when(v.isNull(), F.col(c)).otherwise(moved)
-
-    out = j
-    if table == "rounds":
-        out = out.withColumn("round_num", shift("round_num", ro))
-        for c in ["start", "freeze_end", "end", "official_end", "bomb_plant"]:
-            if c in df.columns:
-                out = out.withColumn(c, shift(c, to))
-    elif table == "cvars":
-        out = out.withColumn("tick", shift("tick", to, keep_sentinel=True))
-    elif table != "header":
-        if "round_num" in df.columns:
-            out = out.withColumn("round_num", shift("round_num", ro))
-        if "tick" in df.columns:
-            out = out.withColumn("tick", shift("tick", to))
-    return out.select(*df.columns)
-
-
 def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids: DataFrame,
                   loaded_at: str | None) -> None:
     """Gather the staged rows of every part of the given matches (identity
@@ -117,7 +87,7 @@ def _land_matches(spark: SparkSession, staged_root: str, bronze_root: str, ids:
                                                   lambda s: s["caminho"]), ", ").alias("_arquivo_origem")))
             df = df.join(first, ["match_id", "parte"], "left_semi").drop("_arquivo_origem").join(srcs, "match_id")
         else:
-            df = _shift_strings(df, offsets, t).withColumn("_arquivo_origem", F.col("caminho"))
+            df = shift_table(df, offsets, t).withColumn("_arquivo_origem", F.col("caminho"))
         if loaded_at:
             df = df.withColumn("_carregado_em", F.lit(loaded_at))
         df = df.withColumn("_camada", F.lit("bronze")).drop("parte", "caminho")
