@@ -46,6 +46,17 @@ def reach(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+def test_components_of_many_tasks(spark, monkeypatch):
+    """A chain, a star and equal, self and null links, dealt over several contracting tasks."""
+    from ticksmith.llm import common
+    monkeypatch.setattr(common, "CONTRACT", 7)
+    links = [(i, i + 1) for i in range(100, 140)] + [(500, 500 + i) for i in range(30)] + [(-3, 900), (-3, 900), (7, 7), (None, 8)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(6)
+    got = {r.node: r.component for r in common.components(df).collect()}
+    assert got == {**{i: 100 for i in range(100, 141)}, **{500 + i: 500 for i in range(30)}, -3: -3, 900: -3}
+    assert common.components(df.where("a = 7")).count() == 0
+
+
 def test_components_match_union_find(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
