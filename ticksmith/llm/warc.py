@@ -73,8 +73,9 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
                         F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("html").cast("long"),
                              "payload_digest": base32_of_hex(F.sha1(F.col("html").cast("binary")))})
-    firsts = (rows.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes")
-              .agg(F.min("page_id").alias("first_id")))
+    # written: read back it has no partitioning of its own, so adaptive execution may split a payload that many pages share
+    firsts = materialise(rows.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes")
+                         .agg(F.min("page_id").alias("first_id")), "warc-firsts")
     rows = rows.withColumn("packed", _packed("html")).drop("html").join(firsts, ["payload_digest", "payload_bytes"], "left")
     revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.col("page_id").isNull() & F.col("first_id").isNotNull())
     return rows.select("page_id", "url", "packed", "payload_bytes", "payload_digest",
