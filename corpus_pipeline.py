@@ -14,6 +14,7 @@ from ticksmith.llm import jaccard, langid, mixing, packing, queries, quality
 from ticksmith.llm.common import materialise, read
 
 LANGUAGE_KEEP = 0.5      # least posterior of the predicted language
+NEAR_WORDS, NEAR_PERCENT = 5, 80     # shingle size and least Jaccard of near duplicates (op6 has its own)
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

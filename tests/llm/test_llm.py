@@ -420,6 +420,41 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(comp)
 
 
+def five_word_groups(rows):
+    """Smallest doc_id of each document's group, from all pairs at five words and 0.8."""
+    sets = {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        sets[i] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    ids = sorted(sets)
+    return reach(ids, [(a, b) for a in ids for b in ids if a < b and sets[a] and sets[b]
+                       and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+
+
+def test_near_duplicate_stage_equals_all_pairs_at_five_words(spark):
+    import corpus_pipeline
+    rng = random.Random(12)
+    vocab = [f"v{k}" for k in range(5000)]
+    rows = []
+    for g in range(8):
+        base = [rng.choice(vocab) for _ in range(rng.choice([60, 200, 500]))]
+        rows.append(base)
+        for share in (0.78, 0.82, 0.84, 0.9):                # one end cut off, or words appended
+            rows += [base[:int(share * len(base))], base + [rng.choice(vocab) for _ in range(int(len(base) / share) - len(base))]]
+        for share in (0.0205, 0.022, 0.03):                  # one-word edits, evenly scattered
+            own = list(base)
+            for k in range(10, len(own), int(1 / share)):
+                own[k] = "edited"
+            rows.append(own)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    rng.shuffle(rows)
+    comp = five_word_groups(rows)
+    kept = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(comp.values()))
+    pair = spark.createDataFrame([(1, " ".join(vocab[:200])), (2, " ".join(vocab[:164]))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.one_of_each(spark, pair, SMALL).collect()] == [1]      # 160 of 196 shingles shared
+
+
 def test_folds(spark):
     got = spark.createDataFrame([(3,), (None,)], "doc_id long").select(fold("doc_id", 4).alias("f")).collect()
     assert [r.f for r in got] == [zlib.crc32(b"3") % 4, 0]
