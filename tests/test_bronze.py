@@ -139,3 +139,26 @@ def test_layout_paths_match_written_folders(spark, tmp_root):
     assert r.f == "kills/cup-a/final/t0-vs-u0-m1-mirage.parquet"
     assert os.path.isdir(f"{tmp_root}/b/{r.p}")
     assert unquote(r.p.split("match_id=")[1]) == mid
+
+
+def test_stitch_null_rate_and_skip_over_whole_input(spark):
+    from ticksmith.plans import queries as Q
+    from ticksmith.plans.catalog import Workspace
+    from ticksmith.schemas import ALL_TABLES
+    from .conftest import SF_SMALL
+    ws = Workspace(spark, SF_SMALL)
+    want = {(r.match_id, int(r.round_num)) for r in ws.bronze.table("rounds").select("match_id", "round_num").collect()}
+    got = Q.REGISTRY["stitch_parts_every"](ws).collect()
+    assert {(r.match_id, r.round_num) for r in got} == want and len(got) == len(want)       # rounds 1..20 again
+    headers = {r.match_id for r in ws.bronze.table("header").select("match_id").collect()}
+    assert {r.match_id for r in Q.REGISTRY["stitch_header_every"](ws).collect()} == headers == {m for m, _ in want}
+    assert ({r.match_id for r in Q.REGISTRY["stitch_cvars_every"](ws).collect()}
+            == {r.match_id for r in ws.bronze.table("cvars").select("match_id").collect()} & headers)
+    plan = Q.REGISTRY["skip_loaded"](ws)._jdf.queryExecution().analyzed().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "allow_clientside" in x]     # no header is left out
+    for t in ALL_TABLES:
+        silver = ws.silver.table(t).drop("_carregado_em")
+        n = silver.count()
+        rate = {r.column_name: (r.model, r.nulos, r.linhas) for r in Q.REGISTRY["dq_null_rate" + ("" if t == "kills" else f"_{t}")](ws).collect()}
+        assert set(rate) == set(silver.columns)
+        assert all(rate[c] == (f"silver_{t}", silver.where(F.col(c).isNull()).count(), n) for c in ("match_id", "_arquivo_origem"))

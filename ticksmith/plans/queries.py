@@ -18,9 +18,10 @@ from ..operators import pages as P
 from ..operators import quality as Q
 from ..operators import ranking as R
 from ..operators import silver as S
-from ..schemas import COLUMNS
+from ..schemas import ALL_TABLES, CLOCKED_TABLES, COLUMNS
 from ..sources import bronze as B
 from ..sources import stitch as ST
+from ..sources.fixture_sql import PARTS_OF_EVERY
 from . import oracle as O
 from .catalog import Workspace
 
@@ -531,16 +532,20 @@ register("dq_invariants", "SELECT * FROM (" + "\nUNION ALL\n".join(
     lambda ws: Q.invariant_report(_invariants(ws)))
 
 
-def _null_rate_sql() -> str:
-    cols = ([c for c, _ in COLUMNS["kills"]] + ["segundos_desde_inicio_round", "match_id", "_arquivo_origem"])
-    parts = [f"SELECT 'silver_kills' AS model, '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS nulos, "
-             f"count(*) AS linhas FROM s_kills" for c in cols]
+def _null_rate_sql(table: str = "kills") -> str:
+    cols = ([c for c, _ in COLUMNS[table]] + ["segundos_desde_inicio_round"] * (table in CLOCKED_TABLES)
+            + ["match_id", "_arquivo_origem"] + ["duracao_segundos"] * (table == "rounds"))
+    parts = [f"SELECT 'silver_{table}' AS model, '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS nulos, "
+             f"count(*) AS linhas FROM s_{table}" for c in cols]
     return ("SELECT model, column_name, CAST(nulos AS BIGINT) AS nulos, CAST(linhas AS BIGINT) AS linhas, "
             "CASE WHEN linhas = 0 THEN NULL ELSE nulos::DOUBLE / linhas::DOUBLE END AS taxa_nulos FROM (\n"
             + "\nUNION ALL\n".join(parts) + "\n) r")
 
 
 register("dq_null_rate", _null_rate_sql())(lambda ws: Q.dq_null_rate(_silver(ws, "kills"), "silver_kills"))
+for _t in ALL_TABLES:
+    if _t != "kills":
+        register(f"dq_null_rate_{_t}", _null_rate_sql(_t))(lambda ws, _t=_t: Q.dq_null_rate(_silver(ws, _t), f"silver_{_t}"))
 
 
 # ================================================================ landing (2.1)
@@ -607,8 +612,7 @@ WHERE NOT EXISTS (SELECT 1 FROM bronze_header h WHERE h.match_id = c.match_id)""
 def q_skip_loaded(ws):
     up = (B.with_identity(B.manifest_paths(ws.fixtures.manifest())).where(F.col("caminho").endswith(".dem"))
           .select("match_id", F.lit("upload").alias("origem")).distinct())
-    again = (ws.bronze.table("header").where(F.col("allow_clientside_entities") == "True")
-             .select("match_id", F.lit("reenvio").alias("origem")))
+    again = ws.bronze.table("header").select("match_id", F.lit("reenvio").alias("origem"))
     return B.skip_loaded(up.unionByName(again), ws.bronze.table("header").select("match_id"))
 
 
@@ -623,8 +627,8 @@ FROM parts_rounds p JOIN (
   FROM (SELECT match_id, parte, max(round_num) AS r_max, max(official_end) AS t_max FROM parts_rounds GROUP BY 1, 2) s
   WINDOW w AS (PARTITION BY match_id ORDER BY parte ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) o
   ON o.match_id = p.match_id AND o.parte = p.parte""")
-def q_stitch_parts(ws):
-    pr = ws.fixtures.parts_rounds()
+def q_stitch_parts(ws, every: bool = False):
+    pr = ws.fixtures.parts_rounds(every)
     offsets = ST.part_offsets(pr)
     shifted = ST.shift_table(pr, offsets, "rounds")
     return shifted.select("match_id", "parte", *[F.col(c).cast("bigint").alias(c)
@@ -639,9 +643,9 @@ FROM (SELECT match_id, parte, max(round_num) AS r_max, max(official_end) AS t_ma
 WINDOW w AS (PARTITION BY match_id ORDER BY parte ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
-def _split_parts(ws):
+def _split_parts(ws, every: bool = False):
     """(match_id, parte) of the split recordings of the fixture."""
-    return ws.fixtures.parts_rounds().select("match_id", "parte").distinct()
+    return ws.fixtures.parts_rounds(every).select("match_id", "parte").distinct()
 
 
 @register("stitch_cvars", f"""
@@ -650,11 +654,11 @@ SELECT c.match_id, p.parte, NULLIF(TRIM(c.name), '') AS name,
             ELSE NULLIF(TRIM(c.tick), '')::INTEGER END AS BIGINT) AS tick
 FROM bronze_cvars c JOIN (SELECT DISTINCT match_id, parte FROM parts_rounds) p ON p.match_id = c.match_id
 JOIN ({_OFFSETS_SQL}) o ON o.match_id = p.match_id AND o.parte = p.parte""")
-def q_stitch_cvars(ws):
+def q_stitch_cvars(ws, every: bool = False):
     """Each split match's settings report repeated in every part: the
     sentinel tick -1 is never shifted, other ticks move by the part offset."""
-    offsets = ST.part_offsets(ws.fixtures.parts_rounds())
-    parts = (ws.bronze.table("cvars").join(_split_parts(ws), "match_id")
+    offsets = ST.part_offsets(ws.fixtures.parts_rounds(every))
+    parts = (ws.bronze.table("cvars").join(_split_parts(ws, every), "match_id")
              .select("match_id", "parte", blank("name").alias("name"), to_int(blank("tick")).alias("tick")))
     return ST.shift_table(parts, offsets, "cvars").withColumn("tick", F.col("tick").cast("bigint"))
 
@@ -671,16 +675,22 @@ FROM (SELECT match_id, map_name FROM ({_HEADER_PARTS_SQL}) h
       WHERE parte = (SELECT min(parte) FROM parts_rounds r WHERE r.match_id = h.match_id)) f
 JOIN (SELECT match_id, string_agg(src, ', ' ORDER BY parte, src) AS _arquivo_origem
       FROM ({_HEADER_PARTS_SQL}) h GROUP BY match_id) a ON a.match_id = f.match_id""")
-def q_stitch_header(ws):
+def q_stitch_header(ws, every: bool = False):
     """First part's header; lineage lists every part's source in order.
     (Later parts carry a different map name to show which header wins.)"""
-    hp = (ws.bronze.table("header").join(_split_parts(ws), "match_id")
+    hp = (ws.bronze.table("header").join(_split_parts(ws, every), "match_id")
           .select("match_id", "parte",
                   F.when(F.col("parte") == 1, blank("map_name")).otherwise(F.lit("de_other")).alias("map_name"),
                   F.concat("match_id", F.lit("-p"), F.col("parte").cast("string"), F.lit(".dem")).alias("_arquivo_origem")))
     return ST.stitch_header(hp)
 
 
+# the same over every match, each split into parts
+for _n, _q in (("stitch_parts", q_stitch_parts), ("stitch_cvars", q_stitch_cvars), ("stitch_header", q_stitch_header)):
+    register(f"{_n}_every", f"SELECT * FROM (WITH parts_rounds AS ({PARTS_OF_EVERY.strip()}) {ORACLE[_n].strip()}) q")(
+        lambda ws, _q=_q: _q(ws, every=True))
+
+
 @register("match_layout", """
 SELECT match_id, 'kills/' || match_id || '.parquet' AS caminho_arquivo,
   'kills/evento=' || split_part(match_id, '/', 1) || '/fase=' || split_part(match_id, '/', 2) || '/match_id='

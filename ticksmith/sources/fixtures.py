@@ -45,8 +45,8 @@ class FixtureBronze:
             self._tables[table] = conform_bronze(self.raw(table), table)
         return self._tables[table]
 
-    def parts_rounds(self) -> DataFrame:
-        return self._run(fixture_sql.EXTRA["parts_rounds"])
+    def parts_rounds(self, every: bool = False) -> DataFrame:
+        return self._run(fixture_sql.PARTS_OF_EVERY if every else fixture_sql.EXTRA["parts_rounds"])
 
     def manifest(self) -> DataFrame:
         return self._run(fixture_sql.EXTRA["manifest"])
