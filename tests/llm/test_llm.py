@@ -131,6 +131,15 @@ def test_tag_expression_is_evaluated():
     assert r[5] == "gpl,mit" and r[6] == 1.0 and r[7] == ["MIT OR GPL-2.0"]
 
 
+@pytest.mark.parametrize("text, expression, labels", [
+    ("Apache-2.0 Copyright 2020 X", "Apache-2.0", "apache"), ("MIT OR GPL-2.0. This file is free", "MIT OR GPL-2.0", "gpl,mit"),
+    ("(MIT OR BSD-2-Clause) (see LICENSE)", "(MIT OR BSD-2-Clause)", "bsd,mit"), ("GPL-2.0 WITH Classpath-exception-2.0 All code", None, "gpl"),
+    ("MIT and", "MIT and", "unknown"), ("(MIT GPL-2.0)", "(MIT GPL-2.0)", "unknown"), ("MIT) rest", None, "unknown"), ("", "", "unknown")])
+def test_prose_after_a_tag_is_left_out(text, expression, labels):
+    r = licenses.scan_text(b"x SPDX-License-Identifier: " + text.encode(), licenses.automaton())
+    assert r[5] == labels and (expression is None or r[7] == [expression])
+
+
 # ------------------------------------------------------------------ 3, 5, 7
 
 def test_crf_messages_equal_enumeration():

@@ -106,6 +106,23 @@ def postfix(expression: str) -> list[str]:
     return out + stack[::-1]
 
 
+def leading(text: str) -> str:
+    """The expression a text begins with: all before the first operand or
+    bracket that follows a complete expression (an operand was last, every
+    bracket is closed)."""
+    depth, operand_next = 0, True
+    for token in TOKEN.finditer(text):
+        low = token[0].lower()
+        if not operand_next and depth == 0 and low not in BINDING and low != ")":
+            return text[:token.start()].rstrip()
+        depth += (low == "(") - (low == ")")
+        if low in BINDING:
+            operand_next = True
+        elif low not in "()":
+            operand_next = False
+    return text
+
+
 def evaluate(expression: str) -> tuple[float, set[str]]:
     """(freedom, labels): ``or`` lets the reader choose the freer side,
     ``and`` binds to the stricter, ``with`` lifts strong copyleft."""
@@ -125,9 +142,9 @@ def evaluate(expression: str) -> tuple[float, set[str]]:
 
 
 def tag_expression(raw: bytes) -> str:
-    """What stands after a tag, without the end of a comment around it."""
+    """The expression after a tag, without the end of a comment or the prose that follows it."""
     text = raw.decode("utf-8", "replace")
-    return re.split(r"\*/|-->|#}|[;,\"']", text)[0].strip().rstrip(".")
+    return leading(re.split(r"\*/|-->|#}|[;,\"']", text)[0].strip()).rstrip(".")
 
 
 def automaton() -> ahocorasick.Automaton:
