@@ -601,7 +601,7 @@ WHERE NOT f.entrada LIKE '%/'""")
 def q_batch_members(ws):
     e = ws.fixtures.manifest().select("item_id", F.col("evento").alias("lote"),
                                       F.concat_ws("/", "fase", "arquivo").alias("entrada"))
-    return B.batch_members(e).select("item_id", "lote", "entrada", "n_entradas", "nome_base", "status")
+    return B.batch_members(e, max_entries=200).select("item_id", "lote", "entrada", "n_entradas", "nome_base", "status")
 
 
 @register("skip_loaded", f"""
