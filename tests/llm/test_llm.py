@@ -464,6 +464,55 @@ def test_near_duplicate_stage_equals_all_pairs_at_five_words(spark):
     assert [r.doc_id for r in corpus_pipeline.one_of_each(spark, pair, SMALL).collect()] == [1]      # 160 of 196 shingles shared
 
 
+def mix_targets(size):
+    """Words per source as the mix rule states them: weights 5, 2, 1 in order, at most three times what there is."""
+    order = sorted((s for s in size if s is not None)) + [None] * (None in size)
+    weight, full = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}, set()
+    while True:
+        left, share = sum(size.values()) - sum(3 * size[s] for s in full), sum(weight[s] for s in order if s not in full)
+        target = {s: 3 * size[s] if s in full else left * weight[s] / share for s in order}
+        over = {s for s in order if s not in full and target[s] > 3 * size[s]}
+        if not over:
+            return target
+        full |= over
+
+
+def test_run_equals_plain_python_per_stage(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    docs = read(spark, SMALL, "documents")
+    got = corpus_pipeline.run(spark, SMALL).collect()
+    good = {r.doc_id for r in quality.score(docs, queries.quality_model(spark, docs, SMALL)).collect() if r.score >= queries.QUALITY_KEEP}
+    docs = docs.where(F.col("doc_id").isin(list(good)))
+    known = {r.doc_id for r in langid.predict(docs, langid.train(docs, langid.learn_fold())).collect()
+             if r.lang_pred != "und" and r.score >= corpus_pipeline.LANGUAGE_KEEP}
+    rows = {r.doc_id: r for r in docs.collect() if r.doc_id in known}
+    comp = five_word_groups([(i, r.text) for i, r in rows.items()])
+    kept = {i: r for i, r in rows.items() if comp[i] == i}
+    assert 0 < len(kept) < len(rows)
+    words = {i: len((r.text or "").split()) for i, r in kept.items()}
+    size, taken, copies = Counter(), Counter(), Counter(r.doc_id for r in got if r.start == 0)
+    for i, r in kept.items():
+        size[r.source] += words[i]
+        taken[r.source] += copies[i] * words[i]
+    target = mix_targets(size)
+    assert set(copies) <= set(kept) and max(copies.values()) <= 3
+    assert all(abs(taken[s] - target[s]) <= max(words[i] for i, r in kept.items() if r.source == s) for s in size)
+    whole, want = Tokenizer.from_file(queries.tokenizer_file()), Counter()
+    for i, n in copies.items():
+        ids = np.append(np.array(whole.encode(kept[i].text or "", add_special_tokens=False).ids, "<u4"), [2]).astype("<u4")
+        for s in range(0, len(ids), 4096):
+            want[(i, s, zlib.crc32(ids[s:s + 4096].tobytes()))] += n
+    assert Counter((r.doc_id, r.start, r.ids_crc32) for r in got) == want
+
+
+def test_held_out_toxicity_by_class(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.REGISTRY["op5_toxicity_ftrl"](spark, sf).join(read(spark, sf, "labels"), "doc_id").where("held_out").collect()
+    toxic, clean = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if r.toxic == 0]
+    assert sum(toxic) >= 0.5 * len(toxic) > 0 and sum(clean) <= 0.05 * len(clean)      # a model that never says toxic has recall 0
+
+
 def test_folds(spark):
     got = spark.createDataFrame([(3,), (None,)], "doc_id long").select(fold("doc_id", 4).alias("f")).collect()
     assert [r.f for r in got] == [zlib.crc32(b"3") % 4, 0]
