@@ -477,12 +477,17 @@ def mix_targets(size):
         full |= over
 
 
-def test_run_equals_plain_python_per_stage(spark):
+def test_run_equals_plain_python_per_stage(spark, tmp_root):
     import corpus_pipeline
     from tokenizers import Tokenizer
     docs = read(spark, SMALL, "documents")
-    got = corpus_pipeline.run(spark, SMALL).collect()
-    good = {r.doc_id for r in quality.score(docs, queries.quality_model(spark, docs, SMALL)).collect() if r.score >= queries.QUALITY_KEEP}
+    long = [r for r in docs.collect() if len((r.text or "").split()) >= 100][:12]
+    cut = [r.asDict() | {"doc_id": 10 ** 6 + k, "text": " ".join(r.text.split()[:round(0.83 * len(r.text.split()))])} for k, r in enumerate(long)]
+    docs.unionByName(spark.createDataFrame([tuple(c[x] for x in docs.columns) for c in cut], docs.schema)).write.parquet(f"{tmp_root}/documents.parquet")
+    read(spark, SMALL, "labels").write.parquet(f"{tmp_root}/labels.parquet")
+    docs = read(spark, tmp_root, "documents")
+    got = corpus_pipeline.run(spark, tmp_root).collect()
+    good = {r.doc_id for r in quality.score(docs, queries.quality_model(spark, docs, tmp_root)).collect() if r.score >= queries.QUALITY_KEEP}
     docs = docs.where(F.col("doc_id").isin(list(good)))
     known = {r.doc_id for r in langid.predict(docs, langid.train(docs, langid.learn_fold())).collect()
              if r.lang_pred != "und" and r.score >= corpus_pipeline.LANGUAGE_KEEP}
