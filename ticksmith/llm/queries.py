@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, licenses, mixing, neardup, packing, quality, toxicity, warc
+from . import fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, quality, toxicity, warc
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +149,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``: the texts whose crc32 of the id ends in 0 go on
+    periodically from a word that the checksum picks.  A null id or a text
+    without words is left as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    own = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words")).withColumn("n", F.size("words"))
+    long = own.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    long = long.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    head = F.slice("words", F.lit(1), F.col("a"))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    edited = F.array_join(F.slice(F.concat(head, tail), F.lit(1), F.col("n")), " ")
+    return long.select("doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_recompression")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_repeats(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), "best.length",
+                    (-F.col("best.less")).alias("period"),
+                    F.floor(1000 * F.col("best.length") / -F.col("best.less")).alias("exponent_milli"),
+                    F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
