@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, quality, toxicity, warc
+from . import divergence, fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, quality, toxicity, warc
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +149,39 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+own AS (SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source)
+  + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM f),
+m AS (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term),
+whole AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang)
+  + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM m),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM own a JOIN own b
+  ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value FROM g a
+    JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT own.lang, own.source, 'term', own.term, CAST(p - q AS BIGINT) FROM own JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@register("op11_divergence_mph", DIVERGENCE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text``: the texts whose crc32 of the id ends in 0 go on
     periodically from a word that the checksum picks.  A null id or a text
