@@ -10,7 +10,7 @@ terms they use, by a perfect-hash recount.
    order, so a look-up is verified against the stored term.
 3. The shards are broadcast, at most about ``BROADCAST_BYTES`` at a time: a
    vocabulary beyond that takes further rounds over the texts.  The recount
-   increments a dense row of slots per (language, source, shard); a task
+   increments a dense row of slots per (language, source); a task
    hands its rows on when they reach ``DENSE_SLOTS``.
 
 Shares are in billionths, smoothed by ``SMOOTH`` a term, in exact integers.
@@ -41,9 +41,9 @@ SMOOTH = 5
 UNIT = 1_000_000_000
 TOP = 50
 
-SHARD_TERMS = 20_000
+SHARD_TERMS = 4_000
 BROADCAST_BYTES = 32 << 20
-HELD_TERMS = 200_000         # different terms that a task adds up before it hands them on
+HELD_TERMS = 300_000         # different terms that a task adds up before it hands them on
 DENSE_SLOTS = 2_000_000
 TILE = 64
 LEVELS = 32                  # then terms of equal hashes are listed
@@ -189,6 +189,34 @@ def _rounds(shards: DataFrame) -> tuple[DataFrame, int]:
         rounds *= 2
 
 
+class _LangShards:
+    """Shards of one language in one round, their slots laid end to end."""
+
+    def __init__(self, packed: dict[int, tuple]):
+        self.parts = next(iter(packed.values()))[0]
+        self.own = np.array(sorted(packed), np.int64)
+        self.shards = [Shard.unpack(*packed[p][1:]) for p in self.own.tolist()]
+        sizes = np.array([len(s.terms) for s in self.shards], np.int64)
+        self.base, self.size = np.cumsum(sizes) - sizes, int(sizes.sum())
+
+    def places(self, terms: list[bytes], hashes: np.ndarray) -> list[int]:
+        """Place of every term, -1 for terms of no shard here."""
+        out = np.full(len(terms), -1, np.int64)
+        part = hashes.view(np.int64) % self.parts
+        order = np.argsort(part, kind="stable")
+        lo, hi = np.searchsorted(part[order], self.own), np.searchsorted(part[order], self.own, side="right")
+        for k, shard in enumerate(self.shards):
+            at = order[lo[k]:hi[k]]
+            if len(at):
+                slot = shard.slots([terms[i] for i in at.tolist()], hashes[at])
+                out[at] = np.where(slot < 0, -1, slot + self.base[k])
+        return out.tolist()
+
+    def split(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.searchsorted(self.base, places, side="right") - 1
+        return self.own[k], places - self.base[k]
+
+
 def _recount(docs: DataFrame, rows: list) -> DataFrame:
     """One round: occurrences of the shards' terms, partial sums per task."""
     packed = defaultdict(dict)
@@ -197,33 +225,30 @@ def _recount(docs: DataFrame, rows: list) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(dict(packed))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = {lang: (next(iter(own.values()))[0], {part: Shard.unpack(*x[1:]) for part, x in own.items()}) for lang, own in held.value.items()}
+        shards = {lang: _LangShards(own) for lang, own in held.value.items()}
         of = WordHashes()
-        seen: dict[tuple, Counter] = defaultdict(Counter)
+        seen: dict[str, dict[str, Counter]] = {lang: defaultdict(Counter) for lang in shards}
         dense: dict[tuple, np.ndarray] = {}
 
         def count() -> None:
-            for (lang, source), found in seen.items():
-                parts, own = shards[lang]
-                terms = np.array(list(found), object)
-                n = np.fromiter(found.values(), np.int64, len(terms))
-                hashes = np.fromiter((of[t] for t in terms), np.uint64, len(terms))
-                part = hashes.view(np.int64) % parts
-                for p in np.unique(part).tolist():
-                    if p in own:
-                        at = np.flatnonzero(part == p)
-                        slots = own[p].slots(terms[at].tolist(), hashes[at])
-                        row = dense.setdefault((lang, source, p), np.zeros(len(own[p].terms), np.int64))
-                        good = slots >= 0
-                        row[slots[good]] += n[at[good]]
-            seen.clear()
+            for lang, own in seen.items():
+                terms = list(set().union(*own.values()))
+                at = dict(zip(terms, shards[lang].places(terms, np.fromiter((of[t] for t in terms), np.uint64, len(terms)))))
+                for source, found in own.items():
+                    place = np.fromiter((at[t] for t in found), np.int64, len(found))
+                    n = np.fromiter(found.values(), np.int64, len(found))
+                    row = dense.setdefault((lang, source), np.zeros(shards[lang].size, np.int64))
+                    good = place >= 0
+                    row[place[good]] += n[good]
+                own.clear()
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source, p), row in dense.items():
-                slot = np.flatnonzero(row)
-                k = len(slot)
+            for (lang, source), row in dense.items():
+                place = np.flatnonzero(row)
+                part, slot = shards[lang].split(place)
+                k = len(place)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()),
-                                                  pa.array([p] * k, pa.int64()), pa.array(slot), pa.array(row[slot])],
+                                                  pa.array(part), pa.array(slot), pa.array(row[place])],
                                                  names=["lang", "source", "part", "slot", "n"])
             dense.clear()
 
@@ -232,7 +257,7 @@ def _recount(docs: DataFrame, rows: list) -> DataFrame:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if lang not in shards:
                     continue
-                own = seen[lang, source]
+                own = seen[lang][source]
                 size -= len(own)
                 own.update(terms_of(text.as_py()))
                 size += len(own)
