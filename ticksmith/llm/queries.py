@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, quality, toxicity, warc
+from . import divergence, fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, pii, quality, toxicity, warc
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +211,16 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
 
 
+@register("op13_pii_lstm_crf")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(docs))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
