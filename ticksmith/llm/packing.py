@@ -28,8 +28,8 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -181,13 +181,12 @@ def pack(docs: DataFrame, tokenizer_file: str, sequence: int = SEQUENCE, end_id:
     dealt = cuts.withColumn("pack_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "doc_tokens"),
                                                  F.lit(groups)))
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True],
-                                kind="stable")
-        bins, offsets = first_fit_decreasing(rows["length"].tolist(), sequence)
-        rows["sequence_id"] = rows["pack_group"].to_numpy() * (1 << 31) + np.asarray(bins, np.int64)
-        rows["offset"] = np.asarray(offsets, np.int64)
-        rows["doc_id"] = rows["doc_id"].astype("Int64")
-        return rows.drop(columns="pack_group")
+    def fit(table):                  # Arrow keeps 64-bit ids beside nulls
+        order = [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=order))
+        bins, offsets = first_fit_decreasing(table.column("length").to_pylist(), sequence)
+        sequences = table.column("pack_group").to_numpy() * (1 << 31) + np.asarray(bins, np.int64)
+        return (table.drop_columns(["pack_group"]).append_column("sequence_id", pa.array(sequences))
+                .append_column("offset", pa.array(np.asarray(offsets, np.int64))))
 
-    return dealt.groupBy("pack_group").applyInPandas(fit, PIECES + ", sequence_id long, offset long")
+    return dealt.groupBy("pack_group").applyInArrow(fit, PIECES + ", sequence_id long, offset long")
