@@ -88,6 +88,32 @@ def test_neardup_equals_all_pairs(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_neardup_null_component_links_with_nothing(spark):
+    """Nulls inside a vector are skipped by hashes; such a row still links with nothing."""
+    rows = [(1, [1.0, 2.0, 3.0], 0), (2, [1.0, 2.0, 3.0], 0), (3, [1.0, None, 2.0, 3.0], 0), (4, [1.0, 2.0, None, 3.0], 0), (5, [], 0),
+            (6, [-0.0, 1.0, 0.0], 0), (7, [0.0, 1.0, 0.0], 0), (8, [1.0, float("inf"), 2.0, 3.0], 0), (None, [1.0, None, 2.0, 3.0], 0)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept)
+           for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    alone = {i: (0, i, True) for i in (3, 4, 5, 8)}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 6: (1, 6, True), 7: (1, 6, False), None: (0, None, False), **alone}
+
+
+def test_neardup_ids_that_collide_are_dealt_again(spark, monkeypatch):
+    """Class ids of a hash with many collisions: the next salt is taken, results stay exact."""
+    asked = []
+    whole = neardup.class_hash
+
+    def poor(salt):
+        asked.append(salt)
+        return whole(salt) % 2 if salt < 2 else whole(salt)
+    monkeypatch.setattr(neardup, "class_hash", poor)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist() if i < 10 else None, 0) for i in range(10)]
+    rows += [(100 + i, [2 * x for x in v], 0) for i, v, _ in rows]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert got == {**{i: (1, i) for i in range(10)}, **{100 + i: (1, i) for i in range(10)}} and max(asked) == 2
+
+
 def test_neardup_blocks_count_every_link_once(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     rng = np.random.default_rng(8)
@@ -253,6 +279,14 @@ def test_packing_round_trip(spark):
     assert packing.pack(empty(spark), path).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_a_null(spark):
+    """Ids above 2^53 in the group of a null id come back as they were."""
+    ids = [2**53 + 1, None, 2**63 - 1, -2**63, 5, None]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    got = packing.pack(docs, queries.tokenizer_file()).collect()
+    assert Counter(r.doc_id for r in got) == Counter(ids) and len({r.sequence_id for r in got}) == 1
+
+
 def test_first_fit_equals_plain_scan():
     rng = random.Random(3)
     lengths = sorted((rng.randint(1, 100) for _ in range(300)), reverse=True)

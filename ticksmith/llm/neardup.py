@@ -125,15 +125,30 @@ class Index:
         return table, code
 
 
-def classes(vectors: DataFrame) -> DataFrame:
-    """label, vector (binary, float32), rep (smallest vec_id), copies of the
-    comparable vectors."""
+def with_vectors(vectors: DataFrame) -> DataFrame:
+    """vec_id, label, embedding in double precision, whole: the row can be
+    linked (label, finite components, not all zero)."""
+    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     nonzero = F.exists("embedding", lambda v: v != 0)
-    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
-    good = own.where(F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(finite & nonzero)
-    return (good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-            .withColumn("class_id", F.xxhash64("label", "embedding")))
+    return own.withColumn("whole", F.coalesce(F.col("label").isNotNull() & finite & nonzero, F.lit(False)))
+
+
+def class_hash(salt: int) -> "F.Column":
+    return F.xxhash64(F.lit(salt), "label", "embedding")
+
+
+def classes(vectors: DataFrame) -> tuple[DataFrame, int]:
+    """label, embedding, rep (smallest vec_id), copies and class_id of the
+    comparable vectors, and the salt of ``class_hash`` under which no two
+    classes share an id: ids are counted, and dealt again with the next salt
+    while two are equal."""
+    good = with_vectors(vectors).where("whole")
+    own = materialise(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "itq-classes")
+    salt = 0
+    while not own.groupBy(class_hash(salt).alias("h")).count().where("count > 1").isEmpty():
+        salt += 1
+    return own.withColumn("class_id", class_hash(salt)), salt
 
 
 def _dense(column: pa.Array, d: int) -> np.ndarray:
@@ -253,29 +268,26 @@ def _count(rows: pa.RecordBatch, index: Index) -> pa.RecordBatch:
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     ship(vectors.sparkSession)
-    own = materialise(classes(vectors), "itq-classes")
+    own, salt = classes(vectors)
     found = materialise(links(own, learn(own, cosine)), "itq-links")
     counted = found.groupBy("class_id").agg(F.sum("linked").alias("linked"))
     rep = own.where("rep is not null").select("class_id", "rep")
     edges = (found.where("toward is not null").select("class_id", "toward").join(rep.withColumnRenamed("rep", "a"), "class_id")
              .join(rep.select(F.col("class_id").alias("toward"), F.col("rep").alias("b")), "toward").select("a", "b"))
     # rows that share a vec_id with another class belong to one node
-    groups = components(edges.unionByName(_shared_ids(vectors, own)))
+    groups = components(edges.unionByName(_shared_ids(vectors, own, salt)))
     own = (own.join(counted, "class_id", "left").join(groups, F.col("rep") == F.col("node"), "left")
            .select("class_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                    F.coalesce("component", "rep").alias("component_id")))
-    embedding = F.col("embedding").cast("array<double>")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.xxhash64("label", embedding).alias("class_id"),
-                          (F.col("label").isNotNull() & F.col("embedding").isNotNull()).alias("whole"))
-    out = rows.join(own, "class_id", "left")
-    mine = F.coalesce(F.when(F.col("whole"), F.col("component_id")), F.col("vec_id"))
-    return out.select("vec_id", F.coalesce(F.when(F.col("whole"), F.col("n_links")), F.lit(0)).cast("long").alias("n_links"),
-                      mine.alias("component_id"), F.coalesce(F.col("vec_id") == mine, F.lit(False)).alias("kept"))
+    rows = with_vectors(vectors).select("vec_id", F.when(F.col("whole"), class_hash(salt)).alias("class_id"))
+    out = rows.join(own, "class_id", "left")         # a row without a class links with nothing
+    mine = F.coalesce("component_id", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), mine.alias("component_id"),
+                      F.coalesce(F.col("vec_id") == mine, F.lit(False)).alias("kept"))
 
 
-def _shared_ids(vectors: DataFrame, own: DataFrame) -> DataFrame:
+def _shared_ids(vectors: DataFrame, own: DataFrame, salt: int) -> DataFrame:
     """Edges between the classes of a repeated vec_id, by representative."""
-    embedding = F.col("embedding").cast("array<double>")
-    rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.xxhash64("label", embedding).alias("class_id"))
+    rows = with_vectors(vectors).where("whole and vec_id is not null").select("vec_id", class_hash(salt).alias("class_id"))
     again = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id")
     return rows.join(again, "vec_id").join(own.select("class_id", "rep"), "class_id").select(F.col("vec_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
