@@ -73,6 +73,12 @@ class MatchBatch:
         self.empty = not few
         self.values = [r.match_id for r in few] if len(few) <= MAX_INLIST else None
 
+    def restrict_or_null(self, df: DataFrame) -> DataFrame:
+        """Rows of the batch's matches, and rows without a match id."""
+        if self.values is not None:
+            return df.where(F.col("match_id").isin(self.values) | F.col("match_id").isNull())
+        return df.where("match_id is null").unionByName(df.join(self.ids, "match_id", "left_semi").select(df.columns))
+
     def restrict(self, df: DataFrame) -> DataFrame:
         if self.values is not None:
             return df.where(F.col("match_id").isin(self.values))

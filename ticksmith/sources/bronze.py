@@ -2,12 +2,22 @@
 
 Layout: ``<root>/<table>/evento=<e>/fase=<f>/match_id=<id>/part-*.parquet``.
 ``match_id`` is the ``evento/fase/confronto`` identity; Spark escapes the
-slashes inside the partition value and restores them on read.  Every
-data column is a string; typing happens in silver.
+slashes inside the partition value and restores them on read.  Files at any
+other depth (``<table>/<evento>/<fase>/<confronto>.parquet``, a file or a
+folder of files) are read beside them.  Every data column is a string;
+typing happens in silver.
+
+``<root>/_loads`` is the landing ledger: one row per match and load number,
+written once the match's header, the last table, is in place.  A reload is
+staged under ``<root>/_staging/<token>`` and swapped in match by match; a
+swap that was cut short is finished from its journal.  One writer at a time
+works on a bronze root.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -164,9 +174,43 @@ def batch_members(entries: DataFrame, batch_col: str = "lote", path_col: str = "
 # ---------------------------------------------------------------- read / write
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object of a location."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, hidden ones left out (one listing call; below a
+    table these are its tournaments)."""
+    fs, p = _hadoop(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def identity_from_path(path: Column, table_root: str) -> Column:
+    """Match identity of a file outside the partition layout: what stands
+    between the table folder and the first name that ends in .parquet."""
+    folder = "/" + "/".join(table_root.rstrip("/").split("/")[-2:]) + "/"
+    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))       # file names reach SQL percent-encoded
+    below = F.regexp_extract(F.coalesce(plain, path), f"^.*?{re.escape(folder)}(.*)$", 1)
+    return F.regexp_extract(below, r"^(.*?)\.parquet(?:/.*)?$", 1)
+
+
+def _scan_other_depths(spark: SparkSession, path: str, names: list[str], table: str, discover: bool) -> DataFrame:
+    """Files outside the partition layout, at any depth.  A file's own
+    match_id holds where it has one, else its path tells the match."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    reader = reader.option("mergeSchema", "true") if discover else reader.schema(bronze_schema(table))
+    df = reader.parquet(*[f"{path}/{n}" for n in names])
+    own = F.nullif(F.trim(F.col("match_id").cast("string")), F.lit("")) if "match_id" in df.columns else F.lit(None).cast("string")
+    return df.withColumn("match_id", F.coalesce(own, identity_from_path(F.col("_metadata.file_path"), path)))
+
+
 def bronze_scan(spark: SparkSession, root: str, table: str, discover: bool = False) -> DataFrame:
     """All files of one bronze table, unified by column name (files may
-    differ in column order or set).
+    differ in column order or set), in the partition layout or at any other
+    depth, or both.
 
     By default the reader is given the declared layout: Parquet resolves
     each declared column by name in every file and yields NULL where a file
@@ -174,21 +218,31 @@ def bronze_scan(spark: SparkSession, root: str, table: str, discover: bool = Fal
     footer.  ``discover=True`` merges the files' own schemas instead (keeps
     columns outside the layout)."""
     path = table_path(root, table)
-    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", path)
-    if discover:
-        df = reader.option("mergeSchema", "true").parquet(path)
-    else:
-        schema = bronze_schema(table)
-        for c in PARTITION_COLS[:2]:
-            schema = schema.add(c, "string")
-        df = reader.schema(schema).parquet(path)
-    return conform_bronze(df, table)
+    names = _children(spark, path)
+    other = [n for n in names if not n.startswith("evento=")]
+    parts = [n for n in names if n.startswith("evento=")]
+    frames = []
+    if parts or not other:
+        reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", path)
+        if discover and parts:
+            df = reader.option("mergeSchema", "true").parquet(*[f"{path}/{n}" for n in parts])
+        else:
+            schema = bronze_schema(table)
+            for c in PARTITION_COLS[:2]:
+                schema = schema.add(c, "string")
+            df = reader.schema(schema).parquet(*([f"{path}/{n}" for n in parts] if other else [path]))
+        frames.append(conform_bronze(df, table))
+    if other:
+        frames.append(conform_bronze(_scan_other_depths(spark, path, other, table, discover), table))
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
 
 
-def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append") -> None:
+def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append", record: bool = True) -> None:
     """Land one table: strings only, partitioned by tournament / stage /
     match.  ``mode="overwrite"`` replaces exactly the matches present in
-    ``df``, whatever the session's overwrite mode."""
+    ``df``, whatever the session's overwrite mode.  The header's matches are
+    entered in the landing ledger (unless ``record`` is false), so it is the
+    table to write last."""
     out = conform_bronze(stringify(df), table)
     ev, fa = match_parts_of(F.col("match_id"))
     out = out.withColumn("evento", ev).withColumn("fase", fa)
@@ -196,6 +250,36 @@ def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append") ->
     # match over several tasks instead of funnelling it through one
     (out.hint("rebalance", *PARTITION_COLS)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(table_path(root, table)))
+    if table == "header" and record:
+        record_loads(df, root)
+
+
+LOADS = "match_id string, load long"
+
+
+def loads_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_loads"
+
+
+def landed_loads(spark: SparkSession, root: str) -> DataFrame | None:
+    """``match_id``, ``load``: the last load of every landed match, from the
+    ledger; None for a bronze root without one."""
+    fs, p = _hadoop(spark, loads_path(root))
+    if not fs.exists(p):
+        return None
+    return spark.read.schema(LOADS).parquet(loads_path(root)).groupBy("match_id").agg(F.max("load").alias("load"))
+
+
+def record_loads(matches: DataFrame, root: str) -> None:
+    """Enter one more load of each match in the landing ledger."""
+    ids = matches.select("match_id").where(F.col("match_id").isNotNull()).distinct()
+    done = landed_loads(matches.sparkSession, root)
+    if done is not None:
+        ids = ids.join(done, "match_id", "left")
+    else:
+        ids = ids.withColumn("load", F.lit(0).cast("long"))
+    rows = ids.select("match_id", (F.coalesce("load", F.lit(0)) + 1).cast("long").alias("load"))
+    rows.coalesce(1).write.mode("append").parquet(loads_path(root))      # one small file per landing
 
 
 def loaded_matches(spark: SparkSession, root: str) -> DataFrame:
@@ -214,22 +298,28 @@ def skip_loaded(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
     return candidates.join(keys, "match_id", "left_anti")
 
 
+def match_folder(match_id: str) -> str:
+    """Partition folder of a match below its table."""
+    ev, fa = (match_id.split("/") + ["", ""])[:2]
+    return f"evento={_escape_partition(ev)}/fase={_escape_partition(fa)}/match_id={_escape_partition(match_id)}"
+
+
+def _places(base: str, match_id: str) -> list[str]:
+    """Where a table may hold a match: its partition folder, and the file or
+    folder of the other layout."""
+    return [f"{base}/{match_folder(match_id)}", f"{base}/{match_id}.parquet"]
+
+
 def drop_matches(spark: SparkSession, root: str, match_ids: Iterable[str]) -> None:
-    """Remove the given matches from every bronze table (reload / replace):
-    delete their partition folders through the Hadoop file system so a table
-    that has no rows for the match in the new load keeps none either."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    # the header goes first: a match half removed by a crash is not taken for a loaded one
-    bases = [table_path(root, t) for t in ALL_TABLES]
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
+    """Remove the given matches from every bronze table: delete their folders
+    through the Hadoop file system.  The header goes first: a match half
+    removed by a crash is not taken for a loaded one."""
     for mid in match_ids:
-        for base in bases:
-            ev, fa = (mid.split("/") + ["", ""])[:2]
-            part = "match_id=" + _escape_partition(mid)
-            target = jvm.org.apache.hadoop.fs.Path(f"{base}/evento={_escape_partition(ev)}/fase={_escape_partition(fa)}/{part}")
-            if fs.exists(target):
-                fs.delete(target, True)
+        for t in ALL_TABLES:
+            for place in _places(table_path(root, t), mid):
+                fs, p = _hadoop(spark, place)
+                if fs.exists(p):
+                    fs.delete(p, True)
 
 
 def _escape_partition(v: str) -> str:
@@ -246,11 +336,112 @@ def _escape_partition(v: str) -> str:
     return "".join(out)
 
 
+class NothingStaged(ValueError):
+    """A reload of matches that the new load has no header for."""
+
+
+def staging_root(root: str) -> str:
+    """A fresh staging folder of a bronze root."""
+    return f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
+
+
 def replace_match(spark: SparkSession, root: str, tables: dict[str, DataFrame], match_ids: list[str]) -> None:
-    """Forced reload: drop the matches from all nine tables, then append."""
-    drop_matches(spark, root, match_ids)
+    """Forced reload: the matches' new rows are staged, then swapped in for
+    the old ones in all nine tables.  When a match has no staged header, or
+    anything fails before the swap, the stored rows stay as they are."""
+    ids = spark.createDataFrame([(m,) for m in match_ids], "match_id string")
+    recover_swaps(spark, root)
+    staging = staging_root(root)
     for name in header_last(tables):
-        write_bronze(tables[name], root, name, mode="append")
+        write_bronze(tables[name].join(ids, "match_id", "left_semi"), staging, name, mode="overwrite", record=False)
+    missing = ids.join(loaded_matches(spark, staging), "match_id", "left_anti").limit(5).collect()
+    if missing:
+        _remove(spark, staging)
+        raise NothingStaged("no header staged for " + ", ".join(r.match_id for r in missing))
+    swap_in(spark, root, staging)
+
+
+def swap_in(spark: SparkSession, root: str, staging: str) -> None:
+    """Swap the staged matches (those with a staged header) for the stored
+    ones.  The journal, which lists what is staged, is written first; from
+    then on the swap is only ever finished, never undone."""
+    staged = [bronze_scan(spark, staging, t).select("match_id").distinct().withColumn("tabela", F.lit(t))
+              for t in ALL_TABLES if _children(spark, table_path(staging, t))]
+    whole = loaded_matches(spark, staging)
+    journal = staged[0]
+    for df in staged[1:]:
+        journal = journal.unionByName(df)
+    (journal.join(whole, "match_id", "left_semi").groupBy("match_id").agg(F.collect_set("tabela").alias("tabelas"))
+     .write.mode("overwrite").parquet(f"{staging}/_journal"))
+    _finish_swap(spark, root, staging)
+
+
+def _finish_swap(spark: SparkSession, root: str, staging: str) -> None:
+    """Work off a journal; each step leaves a state that it can go on from.
+    A stored folder is moved aside before the new one takes its place, the
+    header's last, then the ledger is written and the staging folder goes."""
+    journal = spark.read.schema("match_id string, tabelas array<string>").parquet(f"{staging}/_journal")
+    for row in journal.toLocalIterator():
+        for t in header_last(ALL_TABLES):
+            new, old = _places(table_path(staging, t), row.match_id)[0], _places(table_path(root, t), row.match_id)
+            fs, source = _hadoop(spark, new)
+            if t in row.tabelas and not fs.exists(source):
+                continue                     # swapped before a crash
+            for k, place in enumerate(old):
+                stored = _hadoop(spark, place)[1]
+                if fs.exists(stored):
+                    aside = _hadoop(spark, f"{staging}/_old/{t}/{k}/{match_folder(row.match_id)}")[1]
+                    fs.mkdirs(aside.getParent())
+                    if fs.exists(aside):
+                        fs.delete(aside, True)
+                    _rename(fs, stored, aside)
+            if t in row.tabelas:
+                target = _hadoop(spark, old[0])[1]
+                fs.mkdirs(target.getParent())
+                _rename(fs, source, target)
+    record_loads(journal, root)
+    _remove(spark, staging)
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"rename failed: {source} -> {target}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def recover_swaps(spark: SparkSession, root: str) -> None:
+    """Finish swaps that were cut short after their journal; drop staged
+    rows without one."""
+    base = f"{root.rstrip('/')}/_staging"
+    for name in _children(spark, base):
+        fs, done = _hadoop(spark, f"{base}/{name}/_journal/_SUCCESS")
+        if fs.exists(done):
+            _finish_swap(spark, root, f"{base}/{name}")
+        else:
+            _remove(spark, f"{base}/{name}")
+
+
+def write_flat_bronze(df: DataFrame, root: str, table: str) -> None:
+    """Write one table in the other layout,
+    ``<table>/<evento>/<fase>/<confronto>.parquet`` (a folder, so that a large
+    match may have several files), for readers that expect it.  The files
+    keep their match_id column."""
+    spark = df.sparkSession
+    staging = f"{staging_root(root)}-flat"
+    out = conform_bronze(stringify(df), table).withColumn("pasta", F.col("match_id"))
+    out.hint("rebalance", "pasta").write.mode("overwrite").partitionBy("pasta").parquet(staging)
+    for row in df.select("match_id").distinct().toLocalIterator():
+        fs, source = _hadoop(spark, f"{staging}/pasta={_escape_partition(row.match_id)}")
+        target = _hadoop(spark, f"{table_path(root, table)}/{row.match_id}.parquet")[1]
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):
+            fs.delete(target, True)
+        _rename(fs, source, target)
+    _remove(spark, staging)
 
 
 def header_last(tables: Iterable[str]) -> list[str]:
