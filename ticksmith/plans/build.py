@@ -503,12 +503,13 @@ def refresh_matches(lake: Lake, match_ids: DataFrame) -> None:
     lake._bronze = None
     loads = ids.join(landed(lake), "match_id", "left").fillna(0, ["load"]).checkpoint()
     silver = Silver(_Only(lake.bronze, ids))
-    for t in ALL_TABLES:
+    root = lake.bronze_root or f"{lake.root}/bronze"
+    for t in (t for t in ALL_TABLES if path_exists(lake.spark, table_path(root, t))):
         upsert_by_match(silver.table(t), lake.silver_path(t), "silver", replace_ids=ids)
         record_processed(lake, f"silver_{t}", loads)     # else the next build would take them again
     rate = tick_rate(lake.bronze.table("rounds"), lake.bronze.table("cvars"))
     gold = Gold(_Only(_StoredSilver(lake, rate), ids, rate))
-    for name in GOLD_FACTS:
+    for name in (n for n in GOLD_FACTS if all(path_exists(lake.spark, lake.silver_path(t)) for t in FACT_INPUTS[n])):
         upsert_by_match(gold.table(name), lake.gold_path(name), "gold", replace_ids=ids)
         record_processed(lake, name, loads)
 
@@ -551,13 +552,13 @@ def gated_publish(lake: Lake, target: str | None = None, tests: DataFrame | None
     return publish(lake, target)
 
 
-def publish(lake: Lake, target: str | None = None) -> list[str]:
-    """Write every gold table and view below a new version folder, then point
+def publish(lake: Lake, target: str | None = None, names: list[str] | None = None) -> list[str]:
+    """Write every (or the named) gold table and view below a new version folder, then point
     ``_CURRENT`` at it.  Until then, and after a crash on the way, readers see
     the version before; it is kept until the next publish."""
     spark, out = lake.spark, target or f"{lake.root}/publish"
     version = uuid.uuid4().hex[:12]
-    names = GOLD_FACTS + GOLD_VIEWS
+    names = names or GOLD_FACTS + GOLD_VIEWS
     for name in names:
         df = lake.read_gold(name) if name in GOLD_FACTS else gold_view(lake, name)
         watch = Observation(f"publish-{name}")

@@ -725,6 +725,14 @@ def q_bronze_scan(ws):
 ORACLE["stitch_rounds"] = ORACLE["stitch_parts"]
 
 
+# ================================================================ write side (2.1, 2.9)
+
+from . import write_queries as W  # noqa: E402
+
+for _name, (_sql, _fn) in W.QUERIES.items():
+    register(_name, _sql)(_fn)
+
+
 # ================================================================ public
 
 

@@ -243,6 +243,8 @@ def write_bronze(df: DataFrame, root: str, table: str, mode: str = "append", rec
     ``df``, whatever the session's overwrite mode.  The header's matches are
     entered in the landing ledger (unless ``record`` is false), so it is the
     table to write last."""
+    if table == "header" and record:
+        df = df.checkpoint()             # one row per match; read twice below
     out = conform_bronze(stringify(df), table)
     ev, fa = match_parts_of(F.col("match_id"))
     out = out.withColumn("evento", ev).withColumn("fase", fa)
@@ -345,11 +347,12 @@ def staging_root(root: str) -> str:
     return f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
 
 
-def replace_match(spark: SparkSession, root: str, tables: dict[str, DataFrame], match_ids: list[str]) -> None:
+def replace_match(spark: SparkSession, root: str, tables: dict[str, DataFrame], match_ids: list[str] | DataFrame) -> None:
     """Forced reload: the matches' new rows are staged, then swapped in for
     the old ones in all nine tables.  When a match has no staged header, or
     anything fails before the swap, the stored rows stay as they are."""
-    ids = spark.createDataFrame([(m,) for m in match_ids], "match_id string")
+    ids = match_ids if isinstance(match_ids, DataFrame) else spark.createDataFrame([(m,) for m in match_ids], "match_id string")
+    ids = ids.select("match_id").distinct()
     recover_swaps(spark, root)
     staging = staging_root(root)
     for name in header_last(tables):
