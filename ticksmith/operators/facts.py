@@ -37,37 +37,31 @@ def players(digest: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- combat
 
 
+COUNTERS = ("kills", "headshots", "mortes", "assistencias", "team_kills")
+DAMAGE = ("dano_causado", "dano_recebido")
+
+
+def _role(steamid: str, **counters) -> "F.Column":
+    """One player's part in an event, as a struct of every counter."""
+    zeros = [F.coalesce(counters[c], F.lit(0)).cast("int").alias(c) if c in counters else F.lit(0).alias(c) for c in COUNTERS]
+    damage = [(counters[c] if c in counters else F.lit(None)).cast("bigint").alias(c) for c in DAMAGE]
+    return F.struct(F.col(steamid).alias("steamid"), *zeros, *damage)
+
+
 def _kill_roles(silver_kills: DataFrame) -> DataFrame:
-    """Melt each kill into attacker / victim / assister rows with per-role
-    counters, so one aggregation computes every kill statistic."""
-    k = silver_kills.select("match_id", "attacker_steamid", "attacker_side", "victim_steamid",
-                            "victim_side", "assister_steamid", "headshot")
-    enemy = F.col("attacker_steamid").isNotNull() & (F.col("attacker_side") != F.col("victim_side"))
-    friendly = F.col("attacker_steamid").isNotNull() & (F.col("attacker_side") == F.col("victim_side"))
-    one, zero = F.lit(1), F.lit(0)
-
-    def flag(cond):
-        return F.when(cond, one).otherwise(zero)
-
-    a = k.select("match_id", F.col("attacker_steamid").alias("steamid"),
-                 flag(enemy).alias("kills"), flag(enemy & F.col("headshot")).alias("headshots"),
-                 zero.alias("mortes"), zero.alias("assistencias"), flag(friendly).alias("team_kills"),
-                 F.lit(None).cast("int").alias("dano_causado"), F.lit(None).cast("int").alias("dano_recebido"))
-    v = k.select("match_id", F.col("victim_steamid").alias("steamid"), zero, zero, one, zero, zero,
-                 F.lit(None).cast("int"), F.lit(None).cast("int"))
-    s = k.select("match_id", F.col("assister_steamid").alias("steamid"), zero, zero, zero, one, zero,
-                 F.lit(None).cast("int"), F.lit(None).cast("int"))
-    return a.unionAll(v).unionAll(s)
+    """Every kill as its attacker, victim and assister, from one scan."""
+    known = F.col("attacker_steamid").isNotNull()
+    flag = lambda cond: F.when(cond, F.lit(1)).otherwise(F.lit(0))
+    enemy, friendly = (known & (F.col("attacker_side") != F.col("victim_side")), known & (F.col("attacker_side") == F.col("victim_side")))
+    roles = F.array(_role("attacker_steamid", kills=flag(enemy), headshots=flag(enemy & F.col("headshot")), team_kills=flag(friendly)),
+                    _role("victim_steamid", mortes=F.lit(1)), _role("assister_steamid", assistencias=F.lit(1)))
+    return silver_kills.select("match_id", F.inline(roles))
 
 
 def _damage_roles(silver_damages: DataFrame) -> DataFrame:
-    d = silver_damages.select("match_id", "attacker_steamid", "victim_steamid", "dmg_health_real")
-    zero, none = F.lit(0), F.lit(None).cast("int")
-    out = d.select("match_id", F.col("attacker_steamid").alias("steamid"), zero, zero, zero, zero, zero,
-                   F.col("dmg_health_real"), none)
-    inc = d.select("match_id", F.col("victim_steamid").alias("steamid"), zero, zero, zero, zero, zero,
-                   none, F.col("dmg_health_real"))
-    return out.unionAll(inc)
+    """Every damage as dealt and as received, from one scan."""
+    d = F.col("dmg_health_real")
+    return silver_damages.select("match_id", F.inline(F.array(_role("attacker_steamid", dano_causado=d), _role("victim_steamid", dano_recebido=d))))
 
 
 def combate(player_roster: DataFrame, silver_kills: DataFrame, silver_damages: DataFrame) -> DataFrame:
@@ -80,10 +74,7 @@ def combate(player_roster: DataFrame, silver_kills: DataFrame, silver_damages: D
     melted = _kill_roles(silver_kills).unionAll(_damage_roles(silver_damages))
     stats = (melted.where(F.col("steamid").isNotNull())
              .groupBy(*PLAYER_KEY)
-             .agg(F.sum("kills").alias("kills"), F.sum("headshots").alias("headshots"),
-                  F.sum("mortes").alias("mortes"), F.sum("assistencias").alias("assistencias"),
-                  F.sum("team_kills").alias("team_kills"), F.sum("dano_causado").alias("dano_causado"),
-                  F.sum("dano_recebido").alias("dano_recebido")))
+             .agg(*[F.sum(c).alias(c) for c in COUNTERS + DAMAGE]))
     z = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
     return (player_roster.join(stats, PLAYER_KEY, "left")
             .select("match_id", "steamid", "nome", z("kills").alias("kills"), z("headshots").alias("headshots"),

@@ -58,19 +58,25 @@ REPORT_SCHEMA = "model string, test string, column_name string, failures bigint"
 
 def model_tests(df: DataFrame, model: str, not_null: list[str], unique: list[str],
                 accepted: dict[str, list]) -> DataFrame:
-    """Failure counts of one model's generic tests, one row per test."""
-    aggs, labels = [], []
-    for c in not_null:
-        aggs.append(F.count_if(F.col(c).isNull()))
-        labels.append(("not_null", c))
-    for c, vals in accepted.items():
-        aggs.append(F.count_distinct(F.when(~F.col(c).isin(vals), F.col(c))))
-        labels.append(("accepted_values", c))
+    """Failure counts of one model's generic tests, one row per test.
+
+    Null and value tests share one pass: a row gives one entry per test that
+    it fails, so a clean row gives none and what is grouped are failures."""
+    bad = [F.when(F.col(c).isNull(), F.struct(F.lit("not_null").alias("test"), F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("value")))
+           for c in not_null]
+    bad += [F.when(~F.col(c).isin(vals), F.struct(F.lit("accepted_values").alias("test"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+            for c, vals in accepted.items()]
     parts = []
-    if aggs:
-        row = df.agg(*[a.alias(f"f{i}") for i, a in enumerate(aggs)])
-        stack = ", ".join(f"'{t}', '{c}', cast(f{i} as bigint)" for i, (t, c) in enumerate(labels))
-        parts.append(row.selectExpr(f"stack({len(labels)}, {stack}) as (test, column_name, failures)"))
+    if bad:
+        failing = df.select(F.inline(F.array_compact(F.array(*bad)))).groupBy("test", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        # rows for not_null, distinct values for accepted_values
+        failing = failing.groupBy("test", "column_name").agg(
+            F.sum(F.when(F.col("test") == "not_null", F.col("n")).otherwise(F.lit(1))).cast("bigint").alias("found"))
+        labels = [("not_null", c) for c in not_null] + [("accepted_values", c) for c in accepted]
+        stack = ", ".join(f"'{t}', '{c}'" for t, c in labels)
+        declared = df.sparkSession.range(1).selectExpr(f"stack({len(labels)}, {stack}) as (test, column_name)")
+        parts.append(declared.join(failing, ["test", "column_name"], "left")
+                     .select("test", "column_name", F.coalesce("found", F.lit(0).cast("bigint")).alias("failures")))
     for c in unique:
         dup = (df.where(F.col(c).isNotNull()).groupBy(c).count().where(F.col("count") > 1)
                .agg(F.count(F.lit(1)).alias("failures")))
