@@ -11,6 +11,7 @@ dimension is broadcast only when its size is proven small.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,24 +52,26 @@ PAGES = {
 }
 
 
+def _number(text, otherwise: int, least: int, most: int | None = None) -> int:
+    """Whole number in ``text`` moved into its bounds; ``otherwise`` for
+    anything that is none."""
+    digits = str(text).strip().replace("_", "") if isinstance(text, (str, int)) and not isinstance(text, bool) else ""
+    if not re.fullmatch(r"[+-]?[0-9]+", digits):
+        return otherwise
+    return max(least, int(digits) if most is None else min(int(digits), most))
+
+
 def page_params(page=None, page_size=None) -> tuple[int, int]:
-    """Page >= 1 (default 1); page size within 1..500 (default 50); text
-    that is not an integer falls back to the default."""
-    def as_int(v, default):
-        try:
-            return int(v) if v is not None else default
-        except (TypeError, ValueError):
-            return default
-    p = max(1, as_int(page, 1))
-    s = min(max(1, as_int(page_size, DEFAULT_PAGE_SIZE)), MAX_PAGE_SIZE)
-    return p, s
+    """Page from 1 (default 1), page size from 1 to 500 (default 50)."""
+    return _number(page, 1, 1), _number(page_size, DEFAULT_PAGE_SIZE, 1, MAX_PAGE_SIZE)
 
 
 def page_base(fact: DataFrame, dim: DataFrame | None, join_dim: bool) -> DataFrame:
     if not join_dim:
         return fact
-    d = dim.select("match_id", *DIM_COLUMNS)
-    return fact.join(d, "match_id")
+    # a fact read with its partition column keeps it, so a tournament filter prunes folders
+    d = dim.select("match_id", *[c for c in DIM_COLUMNS if c not in fact.columns])
+    return fact.join(d, "match_id").select([c for c in fact.columns if c not in DIM_COLUMNS] + DIM_COLUMNS)
 
 
 def whitelist_filter(df: DataFrame, filters: dict, allowed) -> DataFrame:
@@ -86,13 +89,58 @@ def _ordering(spec: PageSpec) -> list[Column]:
     return cols + [F.col(c).asc_nulls_last() for c in spec.tiebreak]
 
 
+DEEP_OFFSET = 10_000        # rows before a page; from here whole ranges are skipped by their counts
+
+
 def page_rows(fact: DataFrame, dim: DataFrame | None, spec: PageSpec, filters: dict | None = None,
               page=1, page_size=DEFAULT_PAGE_SIZE) -> DataFrame:
+    """One numbered page.  Near the start a top-n, further on ``deep_page``."""
     p, s = page_params(page, page_size)
     base = whitelist_filter(page_base(fact, dim, spec.join_dim), filters or {}, spec.filters)
+    if (p - 1) * s >= DEEP_OFFSET:
+        return deep_page(base, spec, (p - 1) * s, s)
     return base.orderBy(*_ordering(spec)).offset((p - 1) * s).limit(s)
 
 
+def deep_page(base: DataFrame, spec: PageSpec, offset: int, size: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + size`` of the order without sorting what
+    comes before: the rows are dealt into ranges of the order, the ranges
+    (one number each) are counted, and only those that the page touches are
+    sorted."""
+    ranges = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))     # stated, so that they are not merged
+    ranged = base.repartitionByRange(ranges, *_ordering(spec)).withColumn("_faixa", F.spark_partition_id()).checkpoint()
+    counts = {r["_faixa"]: r["count"] for r in ranged.groupBy("_faixa").count().collect()}     # one row per range
+    first, wanted, skipped = 0, [], 0
+    for k in sorted(counts):
+        if first < offset + size and first + counts[k] > offset:
+            wanted.append(k)
+        elif first + counts[k] <= offset:
+            skipped = first + counts[k]
+        first += counts[k]
+    rows = ranged.where(F.col("_faixa").isin(wanted)).drop("_faixa")
+    return rows.orderBy(*_ordering(spec)).offset(offset - skipped).limit(size)
+
+
+def page_after(fact: DataFrame, dim: DataFrame | None, spec: PageSpec, filters: dict | None = None,
+               last: dict | None = None, page_size=DEFAULT_PAGE_SIZE) -> DataFrame:
+    """The page that follows a row (``last``: its order and tie-break
+    columns; None for the first page).  The start is a filter, so the cost
+    of a page does not depend on how deep it lies."""
+    _, s = page_params(1, page_size)
+    base = whitelist_filter(page_base(fact, dim, spec.join_dim), filters or {}, spec.filters)
+    if last:
+        types = dict(base.dtypes)
+        follows, equal = F.lit(False), F.lit(True)
+        for c, desc in [*spec.order, *((t, False) for t in spec.tiebreak)]:
+            value = F.lit(last[c]).cast(types[c])
+            if last[c] is not None:              # nulls come last, nothing follows them
+                beyond = (F.col(c) < value if desc else F.col(c) > value) | F.col(c).isNull()
+                follows = follows | (equal & beyond)
+            equal = equal & F.col(c).eqNullSafe(value)
+        base = base.where(follows)
+    return base.orderBy(*_ordering(spec)).limit(s)
+
+
 def page_envelope(fact: DataFrame, dim: DataFrame | None, spec: PageSpec, filters: dict | None = None,
                   page=1, page_size=DEFAULT_PAGE_SIZE) -> DataFrame:
     """count, page, page_size, total_pages, next/previous page numbers

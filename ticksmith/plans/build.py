@@ -324,10 +324,10 @@ class Lake:
     def gold_path(self, t: str) -> str:
         return f"{self.root}/gold/{t}"
 
-    def _read(self, path: str, model: DataFrame, layer: str) -> DataFrame:
+    def _read(self, path: str, model: DataFrame, layer: str, drop: tuple[str, ...] = ("evento", "balde")) -> DataFrame:
         """A stored table by the columns its model has (no footer is read to
         find them; files without one of them give NULL)."""
-        return self.spark.read.schema(stamp(model, layer).schema).parquet(path).drop(*STORED_BY)
+        return self.spark.read.schema(stamp(model, layer).schema).parquet(path).drop(*drop)
 
     @property
     def _models(self) -> Gold:
@@ -341,6 +341,10 @@ class Lake:
     def read_gold(self, t: str) -> DataFrame:
         return self._read(self.gold_path(t), self._models.table(t), "gold")
 
+    def read_gold_by_evento(self, t: str) -> DataFrame:
+        """With the tournament, a partition column: filters on it prune folders."""
+        return self._read(self.gold_path(t), self._models.table(t), "gold", ("balde",))
+
 
 class _NoBronze:
     """Bronze without rows: what the models built on it look like."""

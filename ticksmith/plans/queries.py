@@ -127,8 +127,11 @@ register("clutch_aggregate", "SELECT * FROM g_clutches")(lambda ws: _steps(ws).r
 
 # ================================================================ joins (2.4)
 
-register("anti_range", "SELECT * FROM c_survivor")(lambda ws: _steps(ws).survivors)
-register("correlated_scalar", _SITUATION_SQL)(lambda ws: _steps(ws).situations)
+# the same rules as last_survivor and clutch_situations, as running totals over probes and events
+register("anti_range", "SELECT * FROM c_survivor")(
+    lambda ws: C.survivors_asof(_steps(ws).lone, _steps(ws).roster_names, ws.silver.table("kills")))
+register("correlated_scalar", _SITUATION_SQL)(
+    lambda ws: C.situations_asof(_steps(ws).lone, _steps(ws).roster, _steps(ws).roster_names, _steps(ws).deaths, ws.silver.table("kills")))
 
 
 @register("inner_using", """
@@ -453,7 +456,6 @@ _scalar("regexp_replace_dyn", "header", "silver", [
 _scalar("concat_op", "header", "silver", [
     ("chave", lambda: F.concat(F.split_part(F.col("match_id"), F.lit("/"), F.lit(1)), F.lit("/"), F.col("map_name")),
      "split_part(match_id, '/', 1) || '/' || map_name")])
-register("stitch_rounds", None)(lambda ws: REGISTRY["stitch_parts"](ws))
 
 
 # ================================================================ rankings / pages (2.8)
@@ -477,6 +479,22 @@ for _key, _ep, _flt, _pg, _sz in PAGE_CASES:
             ws.gold.table(P.PAGES[_ep].table), ws.gold.table("dim_partida"), P.PAGES[_ep], _flt, _pg, _sz))
 
 
+@register("page_deep", O._page_sql("page_granadas", {"fase": "final"}, 3, 20))
+def q_page_deep(ws):
+    """A numbered page through range counts, as pages far from the start are read."""
+    spec = P.PAGES["page_granadas"]
+    base = P.whitelist_filter(P.page_base(ws.gold.table(spec.table), ws.gold.table("dim_partida"), spec.join_dim), {"fase": "final"}, spec.filters)
+    return P.deep_page(base, spec, 40, 20)
+
+
+@register("page_keyset", O._page_sql("page_granadas", {"fase": "final"}, 3, 20))
+def q_page_keyset(ws):
+    """The page that follows the last row of page 2."""
+    spec, args = P.PAGES["page_granadas"], (ws.gold.table("granadas_jogador_partida"), ws.gold.table("dim_partida"))
+    last = P.page_rows(*args, spec, {"fase": "final"}, 2, 20).collect()[-1:]       # one row of at most one page
+    return P.page_after(*args, spec, {"fase": "final"}, last[0].asDict() if last else None, 20)
+
+
 @register("filter_whitelist", O._page_sql("page_combate", {"mapa": "de_nuke"}, 1, 500))
 def q_filter_whitelist(ws):
     # 'kills' and 'bogus' are not filterable columns of this page: ignored
@@ -685,6 +703,30 @@ def q_stitch_header(ws, every: bool = False):
     return ST.stitch_header(hp)
 
 
+_TICK_PARTS = """SELECT match_id, CASE WHEN r <= 10 THEN 1 ELSE 2 END AS parte, tick - CASE WHEN r <= 10 THEN 0 ELSE 100000 END AS tick
+FROM (SELECT match_id, CAST(NULLIF(TRIM(round_num), '') AS INTEGER) AS r, CAST(NULLIF(TRIM(tick), '') AS INTEGER) AS tick FROM bronze_ticks) t"""
+
+
+@register("stitch_rounds", f"""
+SELECT p.match_id, p.parte, CAST(p.round_num + o.round_offset AS BIGINT) AS round_num, CAST(p.start + o.tick_offset AS BIGINT) AS start,
+  CAST(p.start + 1280 + o.tick_offset AS BIGINT) AS freeze_end, CAST(p.official_end - 448 + o.tick_offset AS BIGINT) AS "end",
+  CAST(p.official_end + o.tick_offset AS BIGINT) AS official_end, CAST(p.bomb_plant + o.tick_offset AS BIGINT) AS bomb_plant
+FROM ({PARTS_OF_EVERY.strip()}) p JOIN (
+  SELECT s.match_id, s.parte, COALESCE(sum(r_max) OVER w, 0) AS round_offset, COALESCE(sum(greatest(t_max, k_max) + 1) OVER w, 0) AS tick_offset
+  FROM (SELECT match_id, parte, max(round_num) AS r_max, max(official_end) AS t_max FROM ({PARTS_OF_EVERY.strip()}) x GROUP BY 1, 2) s
+  LEFT JOIN (SELECT match_id, parte, max(tick) AS k_max FROM ({_TICK_PARTS}) y GROUP BY 1, 2) k ON k.match_id = s.match_id AND k.parte = s.parte
+  WINDOW w AS (PARTITION BY s.match_id ORDER BY s.parte ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) o
+  ON o.match_id = p.match_id AND o.parte = p.parte""")
+def q_stitch_rounds(ws):
+    """Rounds of every match with all five tick columns; the offsets come from rounds and ticks."""
+    rounds = ws.fixtures.parts_rounds(True).select("*", (F.col("start") + 1280).alias("freeze_end"), (F.col("official_end") - 448).alias("end"))
+    r, t = to_int(blank("round_num")), to_int(blank("tick"))
+    first = r <= 10
+    ticks = ws.bronze.table("ticks").select("match_id", F.when(first, 1).otherwise(2).alias("parte"), (t - F.when(first, 0).otherwise(100000)).alias("tick"))
+    moved = ST.shift_table(rounds, ST.part_offsets(rounds, ticks), "rounds")
+    return moved.select("match_id", "parte", *[F.col(c).cast("bigint").alias(c) for c in ["round_num", *ST.ROUND_TICK_COLUMNS]])
+
+
 # the same over every match, each split into parts
 for _n, _q in (("stitch_parts", q_stitch_parts), ("stitch_cvars", q_stitch_cvars), ("stitch_header", q_stitch_header)):
     register(f"{_n}_every", f"SELECT * FROM (WITH parts_rounds AS ({PARTS_OF_EVERY.strip()}) {ORACLE[_n].strip()}) q")(
@@ -721,8 +763,6 @@ def q_bronze_scan(ws):
     return _silver(landed, "kills")
 
 
-# the rounds part of stitching is the stitch_parts query
-ORACLE["stitch_rounds"] = ORACLE["stitch_parts"]
 
 
 # ================================================================ write side (2.1, 2.9)

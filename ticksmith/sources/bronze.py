@@ -20,7 +20,7 @@ import re
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALL_TABLES, bronze_columns, bronze_schema
@@ -116,13 +116,13 @@ def match_parts(manifest: DataFrame) -> DataFrame:
     """The recording parts of every match in numeric part order (p10 after
     p2, ties by path), ``.dem`` files only: one row per part with its
     position and the match's part count.  The count is a partial aggregate
-    joined back; only the ordinal needs a window (parts of one match)."""
+    joined back; the ordinal is a prefix sum over blocks of parts."""
     dem = with_identity(manifest_paths(manifest)).where(F.col("caminho").endswith(".dem"))
     counts = dem.groupBy("match_id").agg(F.count(F.lit(1)).alias("n_partes"))
-    w = Window.partitionBy("match_id").orderBy("parte", "caminho")
-    return (dem.join(counts, "match_id")
-            .select("match_id", "parte", "caminho", "n_partes",
-                    F.row_number().over(w).cast("bigint").alias("ordem")))
+    from .stitch import blocked_prefix
+    before = blocked_prefix(dem.withColumn("_um", F.lit(1)), "match_id", "parte", {"_um": "_antes"}, ("caminho",))
+    return (before.join(counts, "match_id")
+            .select("match_id", "parte", "caminho", "n_partes", (F.col("_antes") + 1).alias("ordem")))
 
 
 def _trimmed(c: str) -> Column:

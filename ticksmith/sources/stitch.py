@@ -9,8 +9,8 @@ continues where part k stopped:
 
 The sequential rule is an exclusive prefix sum over the parts of a match,
 so all matches are stitched at once: per-part spans (partial aggregate),
-one window over the handful of parts of each match, then a
-size-checked broadcast join of the offsets onto every table.
+prefix sums in blocks of parts, then a join of the offsets onto every
+table.
 """
 
 from __future__ import annotations
@@ -33,11 +33,29 @@ def part_offsets(rounds: DataFrame, ticks: DataFrame | None = None) -> DataFrame
         tmax = ticks.groupBy("match_id", "parte").agg(F.max("tick").alias("k_max"))
         spans = (spans.join(tmax, ["match_id", "parte"], "full")
                  .select("match_id", "parte", "r_max", F.greatest("t_max", "k_max").alias("t_max")))
-    before = Window.partitionBy("match_id").orderBy("parte").rowsBetween(Window.unboundedPreceding, -1)
-    return spans.select(
-        "match_id", "parte",
-        F.coalesce(F.sum("r_max").over(before), F.lit(0)).cast("bigint").alias("round_offset"),
-        F.coalesce(F.sum(F.col("t_max") + 1).over(before), F.lit(0)).cast("bigint").alias("tick_offset"))
+    spans = spans.select("match_id", "parte", F.col("r_max").alias("rounds"), (F.col("t_max") + 1).alias("ticks"))
+    return (blocked_prefix(spans, "match_id", "parte", {"rounds": "round_offset", "ticks": "tick_offset"})
+            .select("match_id", "parte", "round_offset", "tick_offset"))
+
+
+PART_BLOCK = 1_024        # parts of a match that one window partition orders
+
+
+def blocked_prefix(df: DataFrame, key: str, order: str, sums: dict[str, str], ties: tuple[str, ...] = ()) -> DataFrame:
+    """Exclusive prefix sums of columns per key in the order of a whole
+    number (then ``ties``): totals per block of ``PART_BLOCK`` numbers, a
+    window over the blocks of a key, and a window inside each block.  No
+    window partition holds all rows of a key."""
+    df = df.withColumn("_block", F.floor(F.col(order) / PART_BLOCK))
+    blocks = df.groupBy(key, "_block").agg(*[F.sum(c).alias(f"_{c}") for c in sums])
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    blocks = blocks.select(F.col(key).alias("_key"), F.col("_block").alias("_of"),
+                           *[F.coalesce(F.sum(f"_{c}").over(earlier), zero).alias(f"_{c}") for c in sums])
+    inside = Window.partitionBy(key, "_block").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    own = df.select("*", *[F.coalesce(F.sum(c).over(inside), zero).alias(n) for c, n in sums.items()])
+    joined = own.join(blocks, F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_of")))
+    return joined.select(*df.drop("_block").columns, *[(F.col(n) + F.col(f"_{c}")).cast("bigint").alias(n) for c, n in sums.items()])
 
 
 def shift_table(df: DataFrame, offsets: DataFrame, table: str) -> DataFrame:
