@@ -463,6 +463,23 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(comp)
 
 
+def test_stages_keep_columns_of_any_name_and_kind(spark):
+    """Input columns named _score and _lang, a map and a dotted name pass through the filtering stages; a text is scored once."""
+    import corpus_pipeline
+    docs = read(spark, SMALL, "documents").withColumns({"_score": F.lit("s"), "_lang": F.lit(7), "m": F.create_map(F.lit("k"), F.col("doc_id")),
+                                                       "a.b": F.lit(1)})
+    docs = docs.unionByName(docs.where("doc_id < 20"))           # repeated rows
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        after = stage(spark, docs, SMALL)
+        if name == "language":
+            plan = after._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("ArrowEvalPython [") == 1 and plan.split("ArrowEvalPython [")[1].split("]")[0].count("of(") == 1
+        docs = corpus_pipeline.materialise(after, "t-cols-" + name)
+    assert {"_score", "_lang", "m", "a.b"} <= set(docs.columns) and docs.count() > 50
+    assert docs.where("_score <> 's' or _lang <> 7 or m['k'] <> doc_id").count() == 0
+    assert docs.groupBy("doc_id").count().where("count > 1").count() == 0
+
+
 def five_word_groups(rows):
     """Smallest doc_id of each document's group, from all pairs at five words and 0.8."""
     sets = {}

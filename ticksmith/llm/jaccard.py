@@ -421,11 +421,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id
-    (of its repeated rows the smallest).  Rows without a doc_id stay."""
+    (of its repeated rows the smallest, columns that have no order by their
+    JSON text).  Rows without a doc_id stay."""
     groups = near_duplicates(docs, words, percent)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
-    own = (docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-           .groupBy("doc_id").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in rest))).alias("row"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in rest))
+    ordered = {c: not any(t in kind for t in ("map<", "variant")) for c, kind in docs.dtypes}
+    if all(ordered.values()):
+        first = F.min(whole)
+    else:
+        first = F.min_by(whole, F.struct(*(F.col(f"`{c}`") if ordered[c] else F.to_json(F.struct(F.col(f"`{c}`"))) for c in rest)))
+    own = (docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("row"))
            .select("doc_id", "row.*").select(*(F.col(f"`{c}`") for c in docs.columns)))
     return own.unionByName(docs.where("doc_id is null"))
