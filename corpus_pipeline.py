@@ -20,14 +20,13 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80     # shingle size and least Jaccard of near du
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose line-quality score reaches the query's threshold."""
     score = quality.scorer(spark, queries.quality_model(spark, docs, sf_dir))
-    return docs.withColumn("_score", score(F.col("text").cast("binary"))).where(F.col("_score") >= queries.QUALITY_KEEP).drop("_score")
+    return docs.where(score(F.col("text").cast("binary")) >= queries.QUALITY_KEEP)
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language."""
-    predicted = langid.predictor(spark, langid.train(docs, langid.learn_fold()))
-    return (docs.withColumn("_lang", predicted("text"))
-            .where((F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= LANGUAGE_KEEP)).drop("_lang"))
+    found = langid.predictor(spark, langid.train(docs, langid.learn_fold()))(F.col("text"))
+    return docs.where((found["lang_pred"] != "und") & (found["score"] >= LANGUAGE_KEEP))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
