@@ -7,10 +7,14 @@ backward passes give the marginal of every line; the length-weighted mean of
 the marginals, put through a logistic fitted on the training texts, is the
 score of the text.
 
-Labels are given per document, so in training each line of a document has
-its label.  The fit takes about ``TRAIN_DOCS`` labelled rows at most and
-runs in one task; long texts enter it as segments of ``SEGMENT`` lines.
-Scoring covers whole texts.
+Labels are given per document, those of its lines are hidden.  The fit first
+learns the feature weights with every line labelled as its document, then
+all weights, those of neighbouring labels too, from the documents alone: the
+label of a text is as likely as the length-weighted mean of its marginals,
+and the gradient runs through the forward-backward pass.  It takes about
+``TRAIN_DOCS`` labelled rows at most and runs in one task; long texts enter
+it as segments of ``SEGMENT`` lines.  Scoring covers whole texts, as many at
+a time as make about ``BLOCK`` bytes.
 
 Defined results: a null or empty text is one empty line and is scored as
 such; without training rows every score is 0.5; repeated rows are scored
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +38,10 @@ from .common import arrow_rows, labelled_sample, ship
 TRAIN_DOCS = 8_000
 SEGMENT = 64
 BINS = 8
-STEPS = 150
+STEPS, HIDDEN_STEPS = 60, 80    # with lines labelled as their text, and with hidden line labels
 RATE, PENALTY = 0.15, 1e-4
+NUDGE = 1e-4                    # step of the directional derivative, relative to its largest entry
+BLOCK = 1 << 20
 SEED = 3_571
 SCHEMA = "doc_id long, score double, n_lines long, good_lines double"
 
@@ -54,6 +61,33 @@ def classes() -> np.ndarray:
 _CLASS = classes()
 
 
+def byte_counts(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of each class per line, and Latin-1 capitals (C3 80 - C3 9E)."""
+    if len(lines) == 1:              # of any length: no array of its bytes but these two
+        flat = np.frombuffer(lines[0], np.uint8)
+        kinds = _CLASS[flat]
+        capital = (flat[:-1] == 0xC3) & (flat[1:] >= 0x80) & (flat[1:] <= 0x9E)
+        return np.array([[np.count_nonzero(kinds == k) for k in range(N_CLASSES)]]), np.array([np.count_nonzero(capital)])
+    flat = np.frombuffer(b"".join(lines), np.uint8)
+    owner = np.repeat(np.arange(len(lines), dtype=np.int32), [len(x) for x in lines])
+    found = np.bincount(owner * N_CLASSES + _CLASS[flat], minlength=len(lines) * N_CLASSES).reshape(-1, N_CLASSES)
+    high = np.flatnonzero(flat[:-1] == 0xC3)
+    high = high[(flat[high + 1] >= 0x80) & (flat[high + 1] <= 0x9E)]
+    return found, np.bincount(owner[high], minlength=len(lines))
+
+
+def blocks(sizes: list[int], most: int = BLOCK) -> Iterator[slice]:
+    """Slices of neighbours whose sizes add up to ``most``; a larger one alone."""
+    start, total = 0, 0
+    for k, size in enumerate(sizes):
+        if total + size > most and k > start:
+            yield slice(start, k)
+            start, total = k, 0
+        total += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def measures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Measures of every line (rows), lines per text, bytes per line."""
     lines, counts, words, distinct, copies = [], [], [], [], []
@@ -68,14 +102,7 @@ def measures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             words.append(len(w))
             distinct.append(len(set(w)))
     size = np.array([len(x) for x in lines])
-    flat = np.frombuffer(b"".join(lines), np.uint8)
-    owner = np.repeat(np.arange(len(lines)), size)
-    found = np.bincount(owner * N_CLASSES + _CLASS[flat], minlength=len(lines) * N_CLASSES).reshape(-1, N_CLASSES)
-    # the second byte of a Latin-1 capital
-    capital = np.zeros(len(lines), np.int64)
-    if len(flat):
-        high = np.flatnonzero(flat[:-1] == 0xC3)
-        np.add.at(capital, owner[high[(flat[high + 1] >= 0x80) & (flat[high + 1] <= 0x9E)]], 1)
+    found, capital = map(np.concatenate, zip(*(byte_counts(lines[part]) for part in blocks(size.tolist()))))
     words, distinct, copies = (np.array(x, np.float64) for x in (words, distinct, copies))
     n = np.maximum(size, 1)[:, None]
     letters = found[:, LOWER] + found[:, UPPER] + found[:, HIGH]
@@ -91,11 +118,12 @@ def neighbours(binned: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Feature numbers per line: its own bins, and those of the line before
     and after (``BINS`` marks the end of the text)."""
     first = np.cumsum(counts) - counts
+    binned = binned.astype(np.int16)
     before, after = np.empty_like(binned), np.empty_like(binned)
     before[1:], after[:-1] = binned[:-1], binned[1:]
     before[first] = BINS
     after[first + counts - 1] = BINS
-    at = np.arange(binned.shape[1]) * (BINS + 1)
+    at = np.arange(binned.shape[1], dtype=np.int16) * (BINS + 1)
     width = binned.shape[1] * (BINS + 1)
     return np.concatenate([binned + at, before + at + width, after + at + 2 * width], axis=1)
 
@@ -138,6 +166,33 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def line_odds(columns: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Log odds of good by each line's features (one row of ``columns`` each)."""
+    return sum((weights[c] for c in columns), np.full(columns.shape[1], bias))
+
+
+class Expectation:
+    """What a chain's weights expect of given texts."""
+
+    def __init__(self, columns: np.ndarray, counts: np.ndarray):
+        self.columns, self.counts = columns, counts
+        inner = np.ones(columns.shape[1], bool)
+        inner[np.cumsum(counts) - counts] = False
+        self.inner = np.flatnonzero(inner)               # lines with a line before them
+
+    def __call__(self, odds: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of the lines, and the expected pairs of labels."""
+        logit, ahead, back = chain(odds, self.counts, pairs)
+        a, b = (ahead + odds)[self.inner - 1], (back + odds)[self.inner]
+        joint = np.stack([pairs[i, j] + i * a + j * b for i in (0, 1) for j in (0, 1)], 1)
+        joint = np.exp(joint - joint.max(1, keepdims=True))
+        return _sigmoid(logit), (joint / joint.sum(1, keepdims=True)).sum(0)
+
+    def features(self, per_line: np.ndarray) -> np.ndarray:
+        """Sums of a value per line over the features and the bias."""
+        return np.append(sum(np.bincount(c, per_line, N_FEATURES) for c in self.columns), per_line.sum())
+
+
 class Crf:
     def __init__(self, edges: np.ndarray, weights: np.ndarray, bias: float, pairs: np.ndarray, slope: float, shift: float):
         self.edges, self.weights, self.bias, self.pairs, self.slope, self.shift = edges, weights, bias, pairs, slope, shift
@@ -145,7 +200,7 @@ class Crf:
     def marginals(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         values, counts, size = measures(texts)
         numbers = neighbours(to_bins(values, self.edges), counts)
-        odds = self.weights.take(numbers).sum(1) + self.bias
+        odds = line_odds(numbers.T, self.weights, self.bias)
         return chain(odds, counts, self.pairs)[0], counts, size
 
     def raw(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,44 +218,50 @@ class Crf:
         return _sigmoid(self.slope * raw + self.shift), counts, good
 
 
+def hidden_gradient(expect: Expectation, odds: np.ndarray, pairs: np.ndarray, y: np.ndarray,
+                    weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradient of the loss of text labels ``y`` by line odds and pair weights, and the loss.
+
+    The loss depends on the marginals, so its gradient is a product with the
+    matrix of their derivatives: the change of all expectations as the odds
+    move along the loss's gradient by the marginals."""
+    counts, first = expect.counts, np.cumsum(expect.counts) - expect.counts
+    share = weight / np.repeat(np.add.reduceat(weight, first), counts)
+    mean = np.clip(np.add.reduceat(share * expect(odds, pairs)[0], first), 0.02, 0.98)
+    along = share * np.repeat((mean - y) / (mean * (1 - mean)), counts)
+    step = NUDGE / max(np.abs(along).max(), 1e-12)
+    (p, joint), (q, other) = expect(odds + step * along, pairs), expect(odds - step * along, pairs)
+    loss = -np.mean(np.where(y == 1, np.log(mean), np.log(1 - mean)))
+    return (p - q) / (2 * step), (joint - other) / (2 * step), float(loss)
+
+
 def fit(texts: list[bytes], y: np.ndarray) -> Crf:
-    """Maximum likelihood with an L2 penalty, by Adam on the exact gradient
-    (expected minus observed features, from the forward-backward pass)."""
-    values, counts, _ = measures(texts)
+    """Adam steps on the penalised likelihood: first that of lines labelled
+    as their text without pair weights, then that of the text labels."""
+    values, counts, size = measures(texts)
     edges = bin_edges(values)
-    numbers = neighbours(to_bins(values, edges), counts)
+    columns = np.ascontiguousarray(neighbours(to_bins(values, edges), counts).T)
     label = np.repeat(y, counts)
     # long texts as segments, so no text outweighs many others
     parts = [np.full(c // SEGMENT, SEGMENT).tolist() + ([c % SEGMENT] if c % SEGMENT else []) for c in counts.tolist()]
     counts = np.array([c for p in parts for c in p])
-    first = np.cumsum(counts) - counts
-    inner = np.ones(len(label), bool)
-    inner[first] = False
-    inner = np.flatnonzero(inner)                    # lines with a line before them
+    expect, part_label = Expectation(columns, counts), label[np.cumsum(counts) - counts]
     theta = np.zeros(N_FEATURES + 1 + 4)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    n = len(counts)
-    for step in range(1, STEPS + 1):
-        w, bias, pairs = theta[:N_FEATURES], theta[N_FEATURES], theta[-4:].reshape(2, 2)
-        odds = w.take(numbers).sum(1) + bias
-        logit, ahead, back = chain(odds, counts, pairs)
-        excess = _sigmoid(logit) - label
-        grad = np.zeros_like(theta)
-        grad[:N_FEATURES] = np.bincount(numbers.ravel(), np.repeat(excess, numbers.shape[1]), minlength=N_FEATURES)
-        grad[N_FEATURES] = excess.sum()
-        # joint of (label before, label here)
-        a = ahead[inner - 1] + odds[inner - 1]
-        b = back[inner] + odds[inner]
-        joint = np.stack([pairs[i, j] + i * a + j * b for i in (0, 1) for j in (0, 1)], 1)
-        joint = np.exp(joint - joint.max(1, keepdims=True))
-        joint /= joint.sum(1, keepdims=True)
-        seen = np.bincount(2 * label[inner - 1] + label[inner], minlength=4)
-        grad[-4:] = joint.sum(0) - seen
-        grad = grad / n + PENALTY * theta
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        theta -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+    for steps, hidden in ((STEPS, False), (HIDDEN_STEPS, True)):
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
+        for step in range(1, steps + 1):
+            pairs = theta[-4:].reshape(2, 2)
+            odds = line_odds(columns, theta[:N_FEATURES], theta[N_FEATURES])
+            if hidden:
+                by_line, by_pair, _ = hidden_gradient(expect, odds, pairs, part_label, size + 1.0)
+            else:
+                by_line, by_pair = _sigmoid(odds) - label, np.zeros(4)
+            grad = np.append(expect.features(by_line), by_pair) / len(counts) + PENALTY * theta
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+            theta -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     crf = Crf(edges, theta[:N_FEATURES], float(theta[N_FEATURES]), theta[-4:].reshape(2, 2).copy(), 1.0, 0.0)
-    crf.slope, crf.shift = calibrate(crf.raw(texts)[0], y)
+    raw = [crf.raw(texts[part])[0] for part in blocks([len(t) for t in texts])]
+    crf.slope, crf.shift = calibrate(np.concatenate(raw), y)
     return crf
 
 
@@ -244,8 +305,8 @@ def score(docs: DataFrame, model: Crf | None) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for rows in blocks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+                part = batch.slice(rows.start, rows.stop - rows.start)
                 texts = [t.as_py() or b"" for t in part.column(1)]
                 if own is None:
                     value, counts, good = (np.full(len(texts), 0.5), np.array([t.count(b"\n") + 1 for t in texts]),
@@ -268,8 +329,8 @@ def scorer(spark: SparkSession, model: Crf | None):
     @F.arrow_udf("double")
     def of(column: pa.Array) -> pa.Array:
         own, out = held.value, []
-        for i in range(0, len(column), 500):
-            texts = [t.as_py() or b"" for t in column.slice(i, 500)]
+        for rows in blocks(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            texts = [t.as_py() or b"" for t in column.slice(rows.start, rows.stop - rows.start)]
             out.append(own.score(texts)[0] if own else np.full(len(texts), 0.5))
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
