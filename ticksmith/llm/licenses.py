@@ -41,16 +41,34 @@ NOTICES = {
     "creative commons attribution": "cc-by",
     "all rights reserved": "proprietary",
 }
-# ---- fixed values: identifier prefix -> label, longest prefix first
-IDENTIFIERS = {"mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "0bsd": "bsd",
-               "mpl": "mpl", "epl": "epl", "isc": "isc", "unlicense": "unlicense", "cc0": "cc0", "cc-by": "cc-by",
-               "proprietary": "proprietary", "licenseref": "proprietary"}
-# ---- fixed values: how freely a text under the label may be used
-FREEDOM = {"mit": 1.0, "apache": 1.0, "bsd": 1.0, "isc": 1.0, "unlicense": 1.0, "cc0": 1.0, "cc-by": 0.9, "mpl": 0.7,
-           "epl": 0.7, "lgpl": 0.6, "gpl": 0.4, "agpl": 0.3, "proprietary": 0.0, "unknown": 0.5}
+# ---- fixed values: identifier families and how freely a text under them may be used; an identifier is of a family if it
+# is its name, or that name, a hyphen and more (the longest such name holds)
+FAMILIES = {
+    "0bsd": 1.0, "afl": 1.0, "apache": 1.0, "artistic": 0.9, "blueoak": 1.0, "boost": 1.0, "bsd": 1.0, "bsl": 1.0, "cc0": 1.0, "curl": 1.0,
+    "ecl": 1.0, "hpnd": 1.0, "icu": 1.0, "ijg": 1.0, "isc": 1.0, "libpng": 1.0, "mit": 1.0, "mit-0": 1.0, "ms-pl": 0.9, "mulanpsl": 1.0, "ncsa": 1.0,
+    "ntp": 1.0, "ofl": 0.9, "openssl": 0.9, "pddl": 1.0, "php": 0.9, "postgresql": 1.0, "psf": 1.0, "python": 1.0, "ruby": 0.9, "tcl": 1.0,
+    "unicode": 1.0, "unlicense": 1.0, "upl": 1.0, "vim": 0.9, "w3c": 1.0, "wtfpl": 1.0, "x11": 1.0, "zlib": 1.0, "zpl": 1.0,
+    "cc-by": 0.9, "odc-by": 0.9, "apsl": 0.7, "cddl": 0.7, "cpl": 0.7, "epl": 0.7, "ipl": 0.7, "lppl": 0.7, "mpl": 0.7, "ms-rl": 0.7,
+    "cecill-c": 0.6, "lgpl": 0.6, "cc-by-sa": 0.5, "odbl": 0.5, "cecill": 0.4, "eupl": 0.4, "gfdl": 0.4, "gpl": 0.4, "osl": 0.4,
+    "sleepycat": 0.4, "agpl": 0.3, "sspl": 0.2, "cc-by-nd": 0.2, "cc-by-nc": 0.1, "busl": 0.1, "licenseref": 0.0, "proprietary": 0.0}
+# ---- fixed values: families under another label
+LABELS = {"0bsd": "bsd", "mit-0": "mit", "licenseref": "proprietary"}
+# ---- fixed values: exceptions of the licence list; a known one lifts strong copyleft
+EXCEPTIONS = {
+    "389-exception", "asterisk-exception", "autoconf-exception-2.0", "autoconf-exception-3.0", "autoconf-exception-generic",
+    "autoconf-exception-macro", "bison-exception-1.24", "bison-exception-2.2", "bootloader-exception", "classpath-exception-2.0",
+    "clisp-exception-2.0", "cryptsetup-openssl-exception", "digirule-foss-exception", "ecos-exception-2.0", "fawkes-runtime-exception",
+    "fltk-exception", "font-exception-2.0", "freertos-exception-2.0", "gcc-exception-2.0", "gcc-exception-3.1", "gnat-exception",
+    "gnu-javamail-exception", "gpl-3.0-linking-exception", "gpl-3.0-linking-source-exception", "gpl-cc-1.0", "i2p-gpl-java-exception",
+    "lgpl-3.0-linking-exception", "libtool-exception", "linux-syscall-note", "llgpl", "llvm-exception", "lzma-exception", "mif-exception",
+    "ocaml-lgpl-linking-exception", "occt-exception-1.0", "openjdk-assembly-exception-1.0", "openvpn-openssl-exception",
+    "ps-or-pdf-font-exception-20170817", "qpl-1.0-inria-2004-exception", "qt-gpl-exception-1.0", "qt-lgpl-exception-1.1",
+    "qwt-exception-1.0", "shl-2.0", "shl-2.1", "swift-exception", "u-boot-exception-2.0", "universal-foss-exception-1.0",
+    "vsftpd-openssl-exception", "wxwindows-exception-3.1", "x11vnc-openssl-exception"}
+UNKNOWN = 0.5
 EXCEPTION_FREEDOM = 0.6          # a linking exception lifts strong copyleft this far
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(rb"spdx-license-identifier\s*:[ \t]*([^\r\n]*)", re.I)
+TAG_TEXT = re.compile(rb"spdx-license-identifier\s*:[ \t]*((?:(?!spdx-license-identifier)[^\r\n])*)", re.I)
 TOKEN = re.compile(r"\(|\)|[^\s()]+")
 BINDING = {"or": 1, "and": 2, "with": 3}
 
@@ -62,12 +80,19 @@ SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word lo
           "score double, expressions array<string>, findings array<struct<label:string,phrase:string,word:long>>")
 
 
+def family_of(identifier: str) -> str | None:
+    """The longest family name that the identifier begins with."""
+    parts = identifier.lower().rstrip("+").split("-")
+    return next((name for k in range(len(parts), 0, -1) if (name := "-".join(parts[:k])) in FAMILIES), None)
+
+
 def label_of(identifier: str) -> str:
-    name = identifier.lower().rstrip("+")
-    for prefix in sorted(IDENTIFIERS, key=len, reverse=True):
-        if name == prefix or name.startswith(prefix + "-"):
-            return IDENTIFIERS[prefix]
-    return "unknown"
+    family = family_of(identifier)
+    return LABELS.get(family, family) if family else "unknown"
+
+
+def freedom_of(label: str) -> float:
+    return FAMILIES.get(label, UNKNOWN)
 
 
 def postfix(expression: str) -> list[str]:
@@ -125,20 +150,22 @@ def leading(text: str) -> str:
 
 def evaluate(expression: str) -> tuple[float, set[str]]:
     """(freedom, labels): ``or`` lets the reader choose the freer side,
-    ``and`` binds to the stricter, ``with`` lifts strong copyleft."""
-    stack: list[tuple[float, set[str]]] = []
+    ``and`` binds to the stricter, ``with`` a known exception lifts strong
+    copyleft; an unknown one changes nothing."""
+    stack: list[tuple[float, set[str], str]] = []
     for token in postfix(expression):
         if token not in BINDING:
-            label = label_of(token)
-            stack.append((FREEDOM[label], {label}))
+            family = family_of(token)
+            stack.append((freedom_of(family), {label_of(token)}, token.lower()))
             continue
         right, left = stack.pop(), stack.pop()
         if token == "with":
-            stack.append((max(left[0], EXCEPTION_FREEDOM), left[1]))
+            lifted = max(left[0], EXCEPTION_FREEDOM) if right[2] in EXCEPTIONS else left[0]
+            stack.append((lifted, left[1], ""))
         else:
             pick = max if token == "or" else min
-            stack.append((pick(left[0], right[0]), left[1] | right[1]))
-    return stack[0]
+            stack.append((pick(left[0], right[0]), left[1] | right[1], ""))
+    return stack[0][:2]
 
 
 def tag_expression(raw: bytes) -> str:
@@ -160,25 +187,25 @@ def scan_text(data: bytes, phrases: ahocorasick.Automaton) -> tuple:
     stream = b" ".join([b"", *words, b""])
     hits = [(end - n + 1, phrase, label) for end, (phrase, label, n) in phrases.iter(stream.decode("latin-1"))]
     if not hits:
-        return len(words), 0, None, None, "", "", FREEDOM["unknown"], [], []
+        return len(words), 0, None, None, "", "", UNKNOWN, [], []
     spaces = np.flatnonzero(np.frombuffer(stream, np.uint8) == 32)
     starts = np.searchsorted(spaces, [h[0] for h in hits]).tolist()
     places = [{"label": h[2], "phrase": h[1], "word": w} for h, w in zip(hits, starts) if h[2]]
     base = [p for p in places if p["phrase"] in BASE]
     labels = {p["label"] for p in places}
-    expressions, freedom = [], [FREEDOM[x] for x in labels]
+    expressions, freedom = [], [freedom_of(x) for x in labels]
     if any(h[1] == TAG for h in hits):
         for raw in TAG_TEXT.findall(data):
             expressions.append(tag_expression(raw))
             try:
                 value, named = evaluate(expressions[-1])
             except ValueError:
-                value, named = FREEDOM["unknown"], {"unknown"}
+                value, named = UNKNOWN, {"unknown"}
             freedom.append(value)
             labels |= named
     at = [p["word"] for p in base]
     return (len(words), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({p["label"] for p in base})),
-            ",".join(sorted(labels)), min(freedom, default=FREEDOM["unknown"]), expressions, places)
+            ",".join(sorted(labels)), min(freedom, default=UNKNOWN), expressions, places)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
