@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import jaccard, langid, mixing, packing, queries, quality
+from ticksmith.llm import jaccard, mixing, packing, ppm, queries, quality
 from ticksmith.llm.common import materialise, read
 
 LANGUAGE_KEEP = 0.5      # least posterior of the predicted language
@@ -24,9 +24,10 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language."""
-    found = langid.predictor(spark, langid.train(docs, langid.learn_fold()))(F.col("text"))
-    return docs.where((found["lang_pred"] != "und") & (found["score"] >= LANGUAGE_KEEP))
+    """Documents in a recognised language: one is likelier than the others,
+    and the text is coded about as well as that language's texts are."""
+    found = ppm.predictor(spark, queries.language_model(docs))(F.col("text"))
+    return docs.where((found["lang_pred"] != "und") & (found["score"] >= LANGUAGE_KEEP) & found["fits"])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,14 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, fingerprints, jaccard, langid, licenses, mixing, neardup, packing, periodic, pii, quality, toxicity, warc
+from . import divergence, fingerprints, jaccard, licenses, mixing, neardup, packing, periodic, pii, ppm, quality, toxicity, warc
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-QUALITY_FOLD, TOXIC_FOLD = (4, 2), (5, 0)     # (folds, held-out remainder)
+QUALITY_FOLD, TOXIC_FOLD, LANGUAGE_FOLD = (4, 2), (5, 0), (3, 1)     # (folds, held-out remainder)
 QUALITY_KEEP, TOXIC_KEEP = 0.7, 0.5
 
 
@@ -113,11 +113,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def language_model(docs: DataFrame) -> ppm.Model:
+    folds, out = LANGUAGE_FOLD
+    return ppm.train(docs, fold("doc_id", folds) != out)
+
+
 @register("op7_language_ppm")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = langid.train(docs, langid.learn_fold())
-    return langid.predict(docs, model).select("doc_id", (~langid.learn_fold()).alias("held_out"), "lang_pred", "score")
+    folds, out = LANGUAGE_FOLD
+    return ppm.predict(docs, language_model(docs)).select("doc_id", (fold("doc_id", folds) == out).alias("held_out"), "lang_pred", "score")
 
 
 @register("op8_mix_pivotal")
