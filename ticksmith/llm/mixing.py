@@ -53,9 +53,13 @@ def row_identity() -> Column:
     """Identity of a row; equal rows are numbered.  Needs doc_id, source,
     size and text_hash."""
     same = Window.partitionBy("doc_id", "source", "size", "text_hash").orderBy("text_hash")
+    return F.concat_ws("/", row_key(F.col("size"), F.col("text_hash")), F.row_number().over(same).cast("string"))
+
+
+def row_key(size: Column, text_hash: Column) -> Column:
+    """What equal rows share of their identity.  Needs doc_id and source."""
     return F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-                       F.hex(F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull(), "size", "text_hash")),
-                       F.row_number().over(same).cast("string"))
+                       F.hex(F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull(), size, text_hash)))
 
 
 def targets(rows: DataFrame, weights: tuple = WEIGHTS, most: float = MOST_COPIES) -> DataFrame:
@@ -191,11 +195,17 @@ def _few(share: DataFrame) -> bool:
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """The mix itself: each document as many times as its copies; the
-    columns of ``docs``."""
-    own = plan(docs, weights, most, seed).select("row", "copies")
-    names = docs.columns
-    keyed = (docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), "doc_id", "source",
-                         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                         F.xxhash64("text").alias("text_hash")).withColumn("row", row_identity()))
-    taken = keyed.join(own.where("copies > 0"), "row")
-    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*")
+    columns of ``docs``.
+
+    Whole documents are shuffled once, by their identity without its ordinal.
+    Repeated rows (equal in it) have equal texts and sources: they share the
+    copies of all of them evenly, numbered in the same partitions."""
+    own = plan(docs, weights, most, seed).select(F.substring_index("row", "/", 2).alias("key"), "copies")
+    own = own.groupBy("key").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("rows")).where(F.col("all") > 0)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    keyed = docs.select(whole, row_key(F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"), F.xxhash64("text")).alias("key"))
+    taken = keyed.join(own.hint("shuffle_hash"), "key")
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("rows"))
+    copies = F.floor(F.col("all") / F.col("rows")) + (turn <= F.col("all") % F.col("rows")).cast("long")
+    return (taken.withColumn("copies", copies).where("copies > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*"))
