@@ -68,19 +68,34 @@ def _member(head: pa.Array, packed: pa.Array) -> pa.Array:
 
 
 def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """Record metadata and payload per page."""
+    """Record metadata per page, and the payload of the responses.
+
+    Which record is the response is settled on light rows (id, URL, digest,
+    size).  Payloads are thinned to one per digest before they are shuffled,
+    then joined to the responses alone.  Payloads below ``min_revisit_bytes``
+    are never referred to and stay with their rows."""
+    key = ["payload_digest", "payload_bytes"]
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("html").cast("long"),
                              "payload_digest": base32_of_hex(F.sha1(F.col("html").cast("binary")))})
+    small = F.col("payload_bytes") < min_revisit_bytes
+    light = materialise(rows.where(~small).select("page_id", "url", *key), "warc-light")
     # written: read back it has no partitioning of its own, so adaptive execution may split a payload that many pages share
-    firsts = materialise(rows.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes")
-                         .agg(F.min("page_id").alias("first_id")), "warc-firsts")
-    rows = rows.withColumn("packed", _packed("html")).drop("html").join(firsts, ["payload_digest", "payload_bytes"], "left")
+    firsts = materialise(light.groupBy(*key).agg(F.min("page_id").alias("first_id")), "warc-firsts")
     revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.col("page_id").isNull() & F.col("first_id").isNotNull())
-    return rows.select("page_id", "url", "packed", "payload_bytes", "payload_digest",
-                       F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-                       F.when(revisit, F.col("first_id")).alias("refers_to"))
+    typed = materialise(light.join(firsts, key, "left").select(
+        "page_id", "url", *key, F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("first_id")).alias("refers_to")), "warc-typed")
+    packed = rows.withColumn("packed", _packed("html"))
+    payloads = packed.where(~small).groupBy(*key).agg(F.first("packed").alias("packed"))
+    names = ["page_id", "url", "packed", *key, "record_type", "refers_to"]
+    out = (typed.where("record_type = 'response'").join(payloads, key).select(*names)
+           .unionByName(typed.where("record_type = 'revisit'").withColumn("packed", F.lit(None).cast("binary")).select(*names)))
+    if min_revisit_bytes > 0:
+        own = {"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long")}
+        out = out.unionByName(packed.where(small).withColumns(own).select(*names))
+    return out
 
 
 def _urn(page: Column) -> Column:
@@ -121,8 +136,7 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, archive_bytes:
     spark = pages.sparkSession
     ship(spark)
     root = shared_path(spark, "warc")
-    response = F.col("record_type") == "response"
-    made = (records(pages, min_revisit_bytes).withColumn("member", _member(record_head(), F.when(response, F.col("packed"))))
+    made = (records(pages, min_revisit_bytes).withColumn("member", _member(record_head(), F.col("packed")))
             .withColumn("length", F.octet_length("member").cast("long")))
     order = ["page_id", "url", "payload_digest", "record_type", "length"]
     made = materialise(made.select(*order, "member"), "warc-records")
@@ -131,7 +145,7 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, archive_bytes:
     ready = made.withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "payload_digest"), F.lit(shards)).cast("int"))
     (ready.repartition(shards, "shard").sortWithinPartitions("shard", *order)
      .select("shard", F.col("member").cast("string").alias("value"))
-     .write.partitionBy("shard").option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
+     .write.partitionBy("shard").option("maxRecordsPerFile", 0).option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
      .text(f"{root}/archives"))
     before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     index = (ready.select("shard", *order)
