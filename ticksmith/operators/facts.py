@@ -12,7 +12,7 @@ smallest non-NULL one is taken, so results are reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import grenade_category, safe_ratio
@@ -144,41 +144,56 @@ def dim_jogador(digest: DataFrame) -> DataFrame:
                     F.when(F.col("first.s") == "ct", F.lit("team_a")).otherwise(F.lit("team_b")).alias("equipe")))
 
 
-# fixed values: series-name patterns of the match identity
+# fixed values: marks in the words of a series name
 # ("<team>-vs-<team>-m<N>-<map>" for a multi-map series, "<team>-vs-<team>-<map>" otherwise)
 SERIES_RE = r"^(.*)-m[0-9]+-.*$"
 GAME_NUM_RE = r"^.*-m([0-9]+)-.*$"
-TEAMS_RE = r"^(.*)-vs-(.*)$"
+GAME_WORD = "^m[0-9]+$"
+VERSUS_WORD = "vs"
 MAP_PREFIX = "de_"
 
 
+def last_inner_word(words: Column, is_mark) -> Column:
+    """Place (from 1) of the last marked word with words on both sides, else 0."""
+    places = F.transform(words, lambda w, k: F.when((k > 0) & (k < F.size(words) - 1) & is_mark(w), k + 1).otherwise(0))
+    return F.coalesce(F.array_max(places), F.lit(0))
+
+
+def words_before(words: Column, place: Column) -> Column:
+    return F.array_join(F.slice(words, F.lit(1), F.greatest(place - 1, F.lit(0))), "-")
+
+
+def series_of(name: Column, map_name: Column) -> Column:
+    """struct(series, game, team_1, team_2) of a series name.  A game word
+    ends the series; without one, series and game are null and the map's
+    name is cut off the end before the teams are read."""
+    words = F.split(name, "-", -1)
+    game = last_inner_word(words, lambda w: w.rlike(GAME_WORD))
+    series = F.nullif(words_before(words, game), F.lit(""))
+    number = F.when(game > 0, F.substring(F.element_at(words, F.nullif(game, F.lit(0))), 2, 20).cast("int"))
+    tail = F.concat(F.lit("-"), F.replace(map_name, F.lit(MAP_PREFIX), F.lit("")))
+    single = F.when(F.endswith(name, tail), F.left(name, F.length(name) - F.length(tail))).when(tail.isNotNull(), name)
+    teams = F.split(F.coalesce(series, single), "-", -1)
+    versus = last_inner_word(teams, lambda w: w == VERSUS_WORD)
+    team = lambda text: F.when(teams.isNotNull(), F.when(versus > 0, text).otherwise(""))
+    return F.struct(series.alias("series"), number.alias("game"), team(words_before(teams, versus)).alias("team_1"),
+                    team(F.array_join(F.slice(teams, versus + 1, F.size(teams)), "-")).alias("team_2"))
+
+
 def dim_partida(silver_header: DataFrame) -> DataFrame:
-    """Match dimension parsed from the identity ``evento/fase/confronto``
-    and the map name.  ``-m<N>-`` in the series text marks a multi-map
-    series (the final -> MD5, else MD3); otherwise MD1, game 1, and the
-    trailing ``-<map>`` is removed from the team text."""
-    mid = F.col("match_id")
-    conf = F.split_part(mid, F.lit("/"), F.lit(3))
-    slug = F.replace(F.col("map_name"), F.lit(MAP_PREFIX), F.lit(""))
-    prefix = F.nullif(F.regexp_extract(conf, SERIES_RE, 1), F.lit(""))
-    game = F.nullif(F.regexp_extract(conf, GAME_NUM_RE, 1), F.lit(""))
-    base = silver_header.select(
-        "match_id",
-        F.split_part(mid, F.lit("/"), F.lit(1)).alias("evento"),
-        F.split_part(mid, F.lit("/"), F.lit(2)).alias("fase"),
-        F.col("map_name").alias("mapa"),
-        conf.alias("conf"), slug.alias("slug"), prefix.alias("prefix"), game.alias("game"))
-    teams = F.coalesce(F.col("prefix"),
-                       F.regexp_replace(F.col("conf"), F.concat(F.lit("-"), F.col("slug"), F.lit("$")), F.lit("")))
-    return base.select(
+    """Match dimension read from the identity ``evento/fase/confronto`` and
+    the map: a series of several maps is best of five in the final, else best
+    of three; any other match is game 1 of one."""
+    part = lambda k: F.split_part(F.col("match_id"), F.lit("/"), F.lit(k))
+    read = silver_header.select("match_id", part(1).alias("evento"), part(2).alias("fase"), part(3).alias("name"),
+                                F.col("map_name").alias("mapa"), series_of(part(3), F.col("map_name")).alias("s"))
+    several = F.col("s.series").isNotNull()
+    return read.select(
         "match_id", "evento", "fase", "mapa",
-        F.concat(F.col("evento"), F.lit("/"), F.col("fase"), F.lit("/"),
-                 F.coalesce(F.col("prefix"), F.col("conf"))).alias("confronto_id"),
-        F.coalesce(F.col("game"), F.lit("1")).cast("int").alias("jogo_num"),
-        F.when(F.col("prefix").isNull(), F.lit("MD1")).when(F.col("fase") == "final", F.lit("MD5"))
-         .otherwise(F.lit("MD3")).alias("formato"),
-        F.regexp_extract(teams, TEAMS_RE, 1).alias("time_1"),
-        F.regexp_extract(teams, TEAMS_RE, 2).alias("time_2"))
+        F.concat(F.col("evento"), F.lit("/"), F.col("fase"), F.lit("/"), F.coalesce("s.series", "name")).alias("confronto_id"),
+        F.coalesce("s.game", F.lit(1)).alias("jogo_num"),
+        F.when(several & (F.col("fase") == "final"), "MD5").when(several, "MD3").otherwise("MD1").alias("formato"),
+        F.col("s.team_1").alias("time_1"), F.col("s.team_2").alias("time_2"))
 
 
 # ---------------------------------------------------------------- headline question
