@@ -24,10 +24,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+BATCH_ROWS = 2_000           # of an Arrow batch, unless the session says otherwise
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor
-    (once per application), so functions pickle by reference."""
+    (once per application), so functions pickle by reference.  Arrow batches
+    hold ``BATCH_ROWS`` rows where the session sets no number of its own:
+    rows are whole texts here, and a task has several batches in memory."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if sc.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
