@@ -3,7 +3,7 @@ check quality, publish.
 
 Physical layout (all Parquet):
 
-* ``<root>/bronze/<table>/evento=/fase=/match_id=/``  all strings
+* ``<root>/bronze/<table>/evento=/fase=/match_id=/``  all strings (``lote=<n>/`` for a landing of many matches)
 * ``<root>/silver/<table>/evento=/balde=/``           typed, sorted by match inside files
 * ``<root>/gold/<fact>/evento=/balde=/``              facts
 * ``<root>/publish/_versions/<version>/<name>/``      published read copies; ``_CURRENT`` names the version
@@ -182,7 +182,7 @@ def landed(lake: "Lake") -> DataFrame:
     load 0 the matches of files that were not written through it."""
     root = lake.bronze_root or f"{lake.root}/bronze"
     loads = landed_loads(lake.spark, root)
-    foreign = [n for n in _children(lake.spark, table_path(root, "header")) if not n.startswith("evento=")]
+    foreign = [n for n in _children(lake.spark, table_path(root, "header")) if not n.startswith(("evento=", "lote="))]
     if loads is not None and not foreign:
         return loads
     seen = lake.bronze.table("header").select("match_id").where("match_id is not null").distinct().withColumn("load", F.lit(0).cast("long"))

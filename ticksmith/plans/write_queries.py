@@ -73,8 +73,9 @@ def landing_ingest(ws: Workspace) -> DataFrame:
     base = fresh_scratch_path(ws.spark, "ingest")
     staged, requests = f"{base}/staged", f"{base}/requests"
     for t in ("header", "rounds", "kills", "cvars"):
-        (ws.bronze.table(t).withColumn("caminho", F.concat("match_id", F.lit(".dem")))
-         .write.partitionBy("match_id").parquet(f"{staged}/{t}"))
+        # in the order of the matches: few files, pruned by match
+        (ws.bronze.table(t).withColumn("caminho", F.concat("match_id", F.lit(".dem"))).repartitionByRange("match_id")
+         .sortWithinPartitions("match_id").write.parquet(f"{staged}/{t}"))
     wanted = ws.bronze.table("header").where(FIRST_CUP).select(
         F.split_part("match_id", F.lit("/"), F.lit(1)).alias("evento"), F.split_part("match_id", F.lit("/"), F.lit(2)).alias("fase"),
         F.concat(F.split_part("match_id", F.lit("/"), F.lit(3)), F.lit(".dem")).alias("arquivo"))
@@ -153,7 +154,7 @@ def full_refresh(ws: Workspace) -> DataFrame:
     _land(ws, f"{lake.root}/bronze", ("header", "rounds", "cvars"))
     BLD.build(lake, ["silver_rounds"])
     gone = ws.bronze.table("header").where(FIRST_CUP).select("match_id").distinct()
-    B.drop_matches(ws.spark, f"{lake.root}/bronze", (r.match_id for r in gone.toLocalIterator()))
+    B.drop_matches(ws.spark, f"{lake.root}/bronze", gone)
     BLD.build(lake, ["silver_rounds"], full_refresh=True)
     BLD.build(lake, ["silver_rounds"])
     return lake.read_silver("rounds").drop(*BLD.AUDIT)
