@@ -11,6 +11,10 @@ reaches within that budget, and two linked vectors meet in the bucket of
 their midpoint.  A met pair is reranked by its original vectors in double
 precision, in that one bucket alone, so each link is counted once.
 
+Short codes keep the places of a vector few: 8 bits give about 33 of 64
+random coordinates, 16 bits 124, and every place costs a copy of the vector on
+its way to the rerank.  Longer buckets are compared by matrix products.
+
 Equal (label, vector) rows are one class and are filed once.  Only buckets
 with two classes or more fetch vectors.  A bucket above ``BLOCK`` classes is
 split into pairs of blocks, each a group of its own; a group gives per class
@@ -37,8 +41,10 @@ from .common import Forest, arrow_rows, components, concat_groups, materialise,
 COSINE = 0.98
 SAMPLE = 20_000          # vectors the rotation is learned on, at most about
 ROUNDS = 30
-LEAST_BITS = 16          # of a table; more when there are more vectors than codes
-BLOCK = 512
+LEAST_BITS = 8           # of a table; more when a label has more than 2 ** LEAST_BITS * PER_CODE vectors
+PER_CODE = 256
+BLOCK = 1_024
+PRODUCT_ROWS = 256       # of a matrix product at a time
 SEED = 9_176
 SLACK = 1e-9
 
@@ -59,8 +65,9 @@ def itq(sample: np.ndarray, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarra
 
 def table_slices(d: int, n: int) -> list[slice]:
     """Code bits of each table: as many tables as leave each at least
-    log2(n) bits, so that a bucket stays small as the rows grow."""
-    tables = max(1, d // max(LEAST_BITS, math.ceil(math.log2(max(2, n)))))
+    log2(n / PER_CODE) bits, so that the buckets of a label with n vectors
+    stay small as the rows grow."""
+    tables = max(1, d // max(LEAST_BITS, math.ceil(math.log2(max(2, n / PER_CODE)))))
     cuts = np.linspace(0, d, tables + 1).astype(int)
     return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
 
@@ -126,9 +133,11 @@ class Index:
 
 
 def with_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id, label, embedding in double precision, whole: the row can be
-    linked (label, finite components, not all zero)."""
-    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    """vec_id, label, embedding (floats stay floats on their way, and are
+    reckoned with in double precision), whole: the row can be linked (label,
+    finite components, not all zero)."""
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     nonzero = F.exists("embedding", lambda v: v != 0)
     return own.withColumn("whole", F.coalesce(F.col("label").isNotNull() & finite & nonzero, F.lit(False)))
@@ -152,19 +161,19 @@ def classes(vectors: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _dense(column: pa.Array, d: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, d)
 
 
 def learn(own: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, seed: int = SEED) -> Index:
     """ITQ on about ``sample`` classes at most, drawn by hash."""
-    about = own.agg(F.count(F.lit(1)).alias("n")).first()
-    rate = min(1.0, sample / max(1, about.n))
+    about = own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    rate = min(1.0, sample / max(1, about.n or 0))
     picked = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "class_id"), 11) / F.lit(float(1 << 53)) < rate
     rows = own.where(picked).orderBy("class_id").select("embedding").limit(2 * sample).toPandas()["embedding"]
     by: dict[int, list] = {}
     for v in rows:
         by.setdefault(len(v), []).append(v)
-    return Index({d: itq(unit(np.array(v, float))) for d, v in by.items()}, about.n, cosine)
+    return Index({d: itq(unit(np.array(v, float))) for d, v in by.items()}, about.most or 0, cosine)
 
 
 def filed(own: DataFrame, index: Index) -> DataFrame:
@@ -212,51 +221,46 @@ def links(own: DataFrame, index: Index) -> DataFrame:
     return arrow_rows("class_id long, linked long, toward long", make, parts)
 
 
+def _near_pairs(units: np.ndarray, group: np.ndarray, bucket: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group and bucket (each a run of rows) whose
+    product is at least ``least``, 50,000 at most at a time."""
+    edge = np.flatnonzero((group[1:] != group[:-1]) | (bucket[1:] != bucket[:-1])) + 1
+    for start, stop in zip([0, *edge.tolist()], [*edge.tolist(), len(group)]):
+        for i in range(start, stop - 1, PRODUCT_ROWS):
+            a, c = np.nonzero(units[i:min(i + PRODUCT_ROWS, stop)] @ units[i:stop].T >= least)
+            a, c = a[a < c] + i, c[a < c] + i
+            for at in range(0, len(a), 50_000):
+                yield a[at:at + 50_000], c[at:at + 50_000]
+
+
 def _count(rows: pa.RecordBatch, index: Index) -> pa.RecordBatch:
     group, bucket, tab, code, ident, copies, cross = (rows.column(k).to_numpy() for k in range(7))
     offsets = rows.column(7).offsets.to_numpy()
     sizes = np.diff(offsets)
     linked = np.zeros(len(group), np.int64)
-    left, right = [], []
+    # forest edges: each non-root member points at the member it was joined to
+    forest, extra = Forest(len(group)), []
     for d in np.unique(sizes).tolist():
         own = np.flatnonzero(sizes == d)
         vectors = _dense(rows.column(7).take(pa.array(own)), d)
         norms = np.sqrt((vectors * vectors).sum(1))
-        turned = vectors / norms[:, None] @ index.rotation(d)
-        g, b = group[own], bucket[own]
-        for step in range(1, len(own)):          # pairs (i, i + step) inside a group, for all groups at once
-            i = np.flatnonzero((g[:-step] == g[step:]) & (b[:-step] == b[step:]))
-            if not len(i):
-                break
-            j = i + step
+        units = vectors / norms[:, None]
+        turned = units @ index.rotation(d)
+        for a, c in _near_pairs(units, group[own], bucket[own], index.cosine - SLACK):
             # blocks 0: pairs within the block; 1 and 2: pairs across the two
-            ok = (cross[own[i]] == 0) | (cross[own[i]] != cross[own[j]])
-            i, j = i[ok], j[ok]
-            for at in range(0, len(i), 50_000):
-                a, c = i[at:at + 50_000], j[at:at + 50_000]
-                cosine = (vectors[a] * vectors[c]).sum(1) / (norms[a] * norms[c])
-                near = cosine >= index.cosine
-                a, c = a[near], c[near]
-                if not len(a):
-                    continue
-                t, z = index.met_at(turned[a], turned[c])
-                here = ident[own[a]] != ident[own[c]]
-                for side in (a, c):                  # both filed there, should two buckets share a hash
-                    here &= (t == tab[own[side]]) & (z == code[own[side]].view(np.uint64))
-                a, c = own[a[here]], own[c[here]]
-                np.add.at(linked, a, copies[c])
-                np.add.at(linked, c, copies[a])
-                left.append(a)
-                right.append(c)
-    extra = []
-    if left:
-        # forest edges: each non-root member points at the member it was joined to
-        a, c = np.concatenate(left), np.concatenate(right)
-        forest, used = Forest(len(group)), []
-        for i, j in zip(a.tolist(), c.tolist()):
-            if forest.union(i, j):
-                used.append((i, j))
-        extra = [(ident[i], 0, ident[j]) for i, j in used]
+            ok = (cross[own[a]] == 0) | (cross[own[a]] != cross[own[c]])
+            ok &= (vectors[a] * vectors[c]).sum(1) / (norms[a] * norms[c]) >= index.cosine
+            a, c = a[ok], c[ok]
+            if not len(a):
+                continue
+            t, z = index.met_at(turned[a], turned[c])
+            here = ident[own[a]] != ident[own[c]]
+            for side in (a, c):                  # both filed there, should two buckets share a hash
+                here &= (t == tab[own[side]]) & (z == code[own[side]].view(np.uint64))
+            a, c = own[a[here]], own[c[here]]
+            np.add.at(linked, a, copies[c])
+            np.add.at(linked, c, copies[a])
+            extra += [(ident[i], 0, ident[j]) for i, j in zip(a.tolist(), c.tolist()) if forest.union(i, j)]
     hit = np.flatnonzero(linked)
     e = np.array(extra, np.int64).reshape(-1, 3)
     return pa.RecordBatch.from_arrays(
