@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ticksmith.llm import divergence, queries
 
@@ -69,6 +70,49 @@ def test_small_shards_rounds_tiles_and_flushes_change_nothing(spark, monkeypatch
     assert values(divergence.audit(docs, 3)) == want
 
 
+def test_recount_hands_on_lists_not_places(spark):
+    """A row for every shard that a source has terms of, not one for every term; the counts in it are the plain ones."""
+    docs = many_docs(spark).fillna("", ["lang", "source"]).withColumn("text", F.col("text").cast("binary"))
+    shards = divergence.build_shards(divergence.kept_terms(docs, 3))
+    rows = divergence.recount(docs.repartition(5), shards).collect()
+    assert len({(r.lang, r.source, r.part) for r in rows}) == len(rows)
+    assert sum(len(r.slot) for r in rows) > 20 * len(rows)
+    stored = {(r.lang, r.part): divergence.Shard.unpack(r.sizes, r.bits, r.terms, r.ends).terms.to_pylist() for r in shards.collect()}
+    got = {(r.lang, r.source, stored[r.lang, r.part][slot]): n for r in rows for slot, n in zip(r.slot, r.n)}
+    want = Counter()
+    for r in docs.collect():
+        want.update((r.lang, r.source, t) for t in re.findall(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", bytes(r.text or b"").lower()))
+    kept = {(lang, t) for (lang, _), terms in stored.items() for t in terms}
+    assert got == {k: n for k, n in want.items() if (k[0], k[2]) in kept}
+
+
+def test_blocks_cut_every_text_whole(spark, monkeypatch):
+    """Blocks of a few bytes, so a text has a block of its own, change nothing."""
+    docs = many_docs(spark)
+    want = plain(docs.collect(), 3)
+    for name, value in (("BLOCK_BYTES", 9), ("HELD_TERMS", 40), ("DENSE_SLOTS", 30), ("BATCH", 3)):
+        monkeypatch.setattr(divergence, name, value)
+    assert values(divergence.audit(docs, 3)) == want
+
+
+def test_block_of_odd_texts():
+    texts = [None, b"", b"A a b", b"12 ,.", "Éé É z\x00z".encode(), b"a", b"B"]
+    block = divergence.Block(texts)
+    words = block.words.to_pylist()
+    assert [(d, words[w]) for d, w in zip(block.doc.tolist(), block.word.tolist())] == [
+        (k, t) for k, text in enumerate(texts) for t in re.findall(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or b"").lower())]
+    assert [x.tolist() for x in divergence.Block([None, b"1"]).found(np.zeros(2, np.int64), once=True)] == [[], [], []]
+
+
+def test_terms_beyond_the_top_are_cut_by_value_only(spark):
+    """More terms than the top in a shard: ties of the last value all reach the ranking."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(140)]
+    rows = [(i, " ".join(words[i % 2::2]), "en", "ab"[i % 2], 1, "") for i in range(80)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = values(divergence.audit(docs))
+    assert got == plain(docs.collect(), 30) and sum(r[2] == "term" for r in got) == 100
+
+
 def test_languages_without_kept_terms_have_zero_pairs(spark):
     docs = spark.createDataFrame([(1, "one", "en", "a", 1, ""), (2, None, "en", "b", 1, ""), (3, "x", "de", "a", 1, "")], DOCS)
     assert values(divergence.audit(docs)) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
