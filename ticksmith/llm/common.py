@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +27,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-BATCH_ROWS = 2_000           # of an Arrow batch, unless the session says otherwise
+BATCH_ROWS = 2_000           # of an Arrow batch at most, unless the session says otherwise
+BATCH_BYTES = 2 << 20        # and its bytes (a longer row is a batch alone)
+READ_ROWS = 512              # of a batch of the Parquet reader
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor
     (once per application), so functions pickle by reference.  Arrow batches
-    hold ``BATCH_ROWS`` rows where the session sets no number of its own:
-    rows are whole texts here, and a task has several batches in memory."""
+    hold ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes at most where the
+    session sets no number of its own: rows are whole texts here, and a task
+    has several batches in memory, in the JVM and in Python.  Batches read
+    from Parquet files hold ``READ_ROWS`` rows."""
     sc = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for key, most in (("execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("execution.arrow.maxBytesPerBatch", BATCH_BYTES),
+                      ("parquet.columnarReaderBatchSize", READ_ROWS)):
+        if spark.conf.get(f"spark.sql.{key}", None) is None:
+            spark.conf.set(f"spark.sql.{key}", most)
     if sc.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -226,10 +235,56 @@ def collect_bits(rows: DataFrame, cells: int) -> np.ndarray:
     return out
 
 
-def arrow_rows(schema: str, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], df: DataFrame) -> DataFrame:
-    """``df.mapInArrow`` with the package shipped to the workers."""
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, build: Callable[[], Any]) -> Any:
+    """An object that a Python worker keeps from task to task; it keeps one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def _trimmer() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim       # glibc's
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def release() -> None:
+    """Hand this process's unused memory back to the system.  Spark uses its
+    Python workers again, and allocators keep what was freed, so a worker
+    would hold the most that any of its tasks, of any stage, ever took."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trimmer():
+        trim(0)
+
+
+@contextmanager
+def tidy(keep: bool = False) -> Iterator[None]:
+    """Around the work of a Python task: memory is released before and after
+    it, and without ``keep`` also what earlier tasks have ``kept``."""
+    if not keep:
+        _KEPT.clear()
+    release()
+    try:
+        yield
+    finally:
+        release()
+
+
+def arrow_rows(schema: str, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], df: DataFrame,
+               keep: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with the package shipped to the workers, ``tidy``."""
     ship(df.sparkSession)
-    return df.mapInArrow(make, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tidy(keep):
+            yield from make(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def fold(doc_id: str, folds: int) -> "F.Column":

@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialise, ship
+from .common import arrow_rows, kept, materialise, ship
 
 SEQUENCE = 4096
 END_ID = 2
@@ -111,14 +111,9 @@ class ChunkIds:
         return b"".join([known[c] for c in own])
 
 
-_ENCODERS: dict[str, ChunkIds] = {}
-
-
 def encoder(tokenizer_file: str) -> ChunkIds:
-    """One encoder per worker process."""
-    if tokenizer_file not in _ENCODERS:
-        _ENCODERS[tokenizer_file] = ChunkIds(tokenizer_file)
-    return _ENCODERS[tokenizer_file]
+    """One encoder per worker process, until it works for another operator."""
+    return kept(("encoder", tokenizer_file), lambda: ChunkIds(tokenizer_file))
 
 
 def cut(ids: bytes, sequence: int) -> list[tuple[int, int, int]]:
@@ -143,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, sequence: int = SEQUENCE, end_i
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return arrow_rows(PIECES, make, docs.select(F.col("doc_id").cast("long"), "text"))
+    return arrow_rows(PIECES, make, docs.select(F.col("doc_id").cast("long"), "text"), keep=True)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, ship
+from .common import arrow_rows, ship, tidy
 
 ORDER = 4
 TRAIN_DOCS = 500             # expected texts learned from, per language
@@ -259,9 +259,11 @@ def predictor(spark: SparkSession, model: Model):
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred:string,score:double,fits:boolean>")
-    def of(column: pa.Array) -> pa.Array:
-        pred, score, _, fits = held.value.predict(column.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.bool_())],
-                                          ["lang_pred", "score", "fits"])
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with tidy():
+            for column in columns:
+                pred, score, _, fits = held.value.predict(column.to_pylist())
+                yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.bool_())],
+                                                 ["lang_pred", "score", "fits"])
 
     return of

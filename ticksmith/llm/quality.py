@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, labelled_sample, ship
+from .common import arrow_rows, labelled_sample, ship, tidy
 
 TRAIN_DOCS = 8_000
 SEGMENT = 64
@@ -327,11 +327,14 @@ def scorer(spark: SparkSession, model: Crf | None):
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def of(column: pa.Array) -> pa.Array:
-        own, out = held.value, []
-        for rows in blocks(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
-            texts = [t.as_py() or b"" for t in column.slice(rows.start, rows.stop - rows.start)]
-            out.append(own.score(texts)[0] if own else np.full(len(texts), 0.5))
-        return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = held.value
+        with tidy():
+            for column in columns:
+                out = []
+                for rows in blocks(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+                    texts = [t.as_py() or b"" for t in column.slice(rows.start, rows.stop - rows.start)]
+                    out.append(own.score(texts)[0] if own else np.full(len(texts), 0.5))
+                yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return of
