@@ -2,9 +2,11 @@
 
 import gzip
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -441,6 +443,26 @@ def test_warc_round_trip(spark):
     assert warc.read_records(warc.write_archives(df.limit(0))).count() == 0
 
 
+def test_warc_stores_payloads_once(spark):
+    """Beside the archives, the shared folder holds light rows alone, and no
+    archive passes its size, whatever share of the records ties."""
+    rng = random.Random(10)
+    text = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000))
+    hot = text()
+    pages = [(i, f"http://{i}/", text()) for i in range(300)] + [(None, "http://n/", hot)] * 60
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    shared, sizes = Path(warc.shared_path(spark, "x").removeprefix("file:")).parent, {}
+    before = set(shared.rglob("*"))
+    index = warc.write_archives(df, archive_bytes=100_000)
+    made = [p for p in shared.rglob("*") if p not in before and p.is_file()]
+    for r in index.collect():
+        sizes[r.archive] = max(sizes.get(r.archive, 0), r.offset + r.length)
+    assert index.count() == 360 and max(sizes.values()) <= 100_000
+    assert all(os.path.getsize(a.removeprefix("file:")) == n for a, n in sizes.items())
+    assert sum(p.stat().st_size for p in made) < 1.25 * sum(sizes.values())
+    assert Counter(r.payload.decode() for r in warc.read_records(index).collect()) == Counter(h for _, _, h in pages)
+
+
 def test_joined_ranges():
     assert warc.joined_ranges([(0, 5), (5, 5), (200, 5)], gap=10, run=100) == [(0, 10, [0, 1]), (200, 5, [2])]
 

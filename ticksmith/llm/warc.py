@@ -1,12 +1,14 @@
 """WARC archives: written by Spark, indexed first, read by byte ranges.
 
-Every record is a gzip member of its own.  Records are dealt to archives of
-a bounded size, ordered inside each, and written by Spark's text writer with
-an empty gzip member as line separator, so an archive is one valid
-multi-member gzip file.  The commit protocol of the writer holds, and a lost
-task is run again.  The offset of a record is the running sum of the lengths
-before it: the index (archive, offset, length, URL, digest per record) needs
-no second read.  Payloads cross shuffles compressed.
+Every record is a gzip member of its own, so an archive is one valid
+multi-member gzip file.  The task that has a record appends it to its open
+archive, and begins another before one would pass its bounded size.  The
+offset of a record is the running sum of the lengths before it: the same task
+returns the index (archive, offset, length, URL, digest per record), which
+needs no second read.  Spark commits the index, and the archives are those
+that it names: every attempt of a task writes files of its own, so what a lost
+or repeated attempt left is in no index.  Payloads cross one shuffle,
+compressed, and are stored in the archives alone.
 A read takes selected index rows, sorts their ranges by archive and offset,
 joins ranges with small gaps and reads each joined range once.
 
@@ -23,27 +25,27 @@ import base64
 import gzip
 import hashlib
 import math
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 from pyspark.sql.types import BinaryType
 
 from .common import arrow_rows, materialise, shared_path, ship
 
-ARCHIVE_BYTES = 64 << 20      # expected size of an archive
+ARCHIVE_BYTES = 64 << 20      # of an archive at most (a longer record is an archive alone)
 READ_BLOCK = 8 << 20          # ranges of one block of an archive are read by one task
 GAP = 64 << 10                # smaller gaps between wanted ranges are read through
 RUN = 8 << 20                 # longest joined range (a single record may be longer)
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 LEVEL = 4                     # of compression
-EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000030300000000000000" "0000")
 
+INDEX = "archive string, offset long, length long, url string, payload_digest string, page_id long, record_type string"
 READ = ("page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, "
         "refers_to long, digest_ok boolean")
 
@@ -60,11 +62,10 @@ def _packed(html: pa.Array) -> pa.Array:
     return pa.array([zlib.compress(x.as_py().encode(), 1) for x in html], pa.binary())
 
 
-@F.arrow_udf(BinaryType())
-def _member(head: pa.Array, packed: pa.Array) -> pa.Array:
+def _member(head: str, packed: bytes | None) -> bytes:
     """The gzip member of a record: its head, then the payload if it has one."""
-    return pa.array([gzip.compress(h.as_py().encode() + (zlib.decompress(z.as_py()) if z.is_valid else b"") + END.encode(), LEVEL, mtime=0)
-                     for h, z in zip(head, packed)], pa.binary())
+    payload = b"" if packed is None else zlib.decompress(packed)
+    return gzip.compress(head.encode() + payload + END.encode(), LEVEL, mtime=0)
 
 
 def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
@@ -130,32 +131,55 @@ def record_head(date: str = DATE) -> Column:
         line("Content-Length", (F.octet_length(http_head()) + _kept_bytes()).cast("string")), F.lit("\r\n"), http_head())
 
 
+def _store(path: str) -> tuple:
+    """The file system of a path as Spark names it, and the path there."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _writer(folder: str, archive_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Appends a partition's records to archives of its own; returns their index rows."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        store.create_dir(root, recursive=True)
+        names = [x.split()[0] for x in INDEX.split(", ")]
+        file, name, end = None, "", 0
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                spots = []
+                for head, packed in zip(batch.column("head"), batch.column("packed")):
+                    member = _member(head.as_py(), packed.as_py())
+                    if file is None or end + len(member) > archive_bytes:
+                        if file is not None:
+                            file.close()
+                        name, end = f"{uuid.uuid4().hex}.warc.gz", 0
+                        file = store.open_output_stream(f"{root}/{name}", compression=None)     # members are compressed already
+                    file.write(member)
+                    spots.append((f"{folder}/{name}", end, len(member)))
+                    end += len(member)
+                own = [pa.array(c, k) for c, k in zip(zip(*spots), (pa.string(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*own, *map(batch.column, names[3:])], names=names)
+        finally:
+            if file is not None:
+                file.close()
+
+    return write
+
+
 def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the archives; returns the index: archive, offset, length, url,
     payload_digest, page_id, record_type."""
     spark = pages.sparkSession
     ship(spark)
     root = shared_path(spark, "warc")
-    made = (records(pages, min_revisit_bytes).withColumn("member", _member(record_head(), F.col("packed")))
-            .withColumn("length", F.octet_length("member").cast("long")))
-    order = ["page_id", "url", "payload_digest", "record_type", "length"]
-    made = materialise(made.select(*order, "member"), "warc-records")
-    size = made.agg(F.sum(F.col("length") + len(EMPTY_MEMBER)).alias("n")).first().n or 0
-    shards = max(1, math.ceil(size / archive_bytes))
-    ready = made.withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "payload_digest"), F.lit(shards)).cast("int"))
-    (ready.repartition(shards, "shard").sortWithinPartitions("shard", *order)
-     .select("shard", F.col("member").cast("string").alias("value"))
-     .write.partitionBy("shard").option("maxRecordsPerFile", 0).option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
-     .text(f"{root}/archives"))
-    before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    index = (ready.select("shard", *order)
-             .withColumn("offset", F.coalesce(F.sum(F.col("length") + len(EMPTY_MEMBER)).over(before), F.lit(0))))
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
-             .load(f"{root}/archives")
-             .select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), F.col("path").alias("archive")))
-    index.join(files, "shard").select("archive", "offset", "length", "url", "payload_digest", "page_id", "record_type") \
-        .write.parquet(f"{root}/index")
-    return spark.read.parquet(f"{root}/index")
+    made = (records(pages, min_revisit_bytes).withColumn("head", record_head())
+            .select("head", "packed", "url", "payload_digest", "page_id", "record_type"))
+    arrow_rows(INDEX, _writer(f"{root}/archives", archive_bytes), made).write.parquet(f"{root}/index")
+    return spark.read.schema(INDEX).parquet(f"{root}/index")
 
 
 def joined_ranges(ranges: list[tuple[int, int]], gap: int = GAP, run: int = RUN) -> list[tuple[int, int, list[int]]]:
@@ -189,7 +213,6 @@ def parse_record(record: bytes) -> tuple:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
     kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
     names = [x.split()[0] for x in READ.split(", ")]
     for batch in batches:
@@ -198,8 +221,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for archive in dict.fromkeys(archives.tolist()):
             rows = np.flatnonzero(archives == archive).tolist()
             rows.sort(key=offsets.__getitem__)
-            uri = archive if "://" in archive else archive.replace(":/", ":///", 1)
-            store, path = fs.FileSystem.from_uri(uri)
+            store, path = _store(archive)
             with store.open_input_file(path) as file:
                 for first, size, members in joined_ranges([(offsets[r], lengths[r]) for r in rows]):
                     data = file.read_at(size, first)
